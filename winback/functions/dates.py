@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from calendar import monthrange
 from collections.abc import Sequence
 from datetime import date, timedelta
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +28,16 @@ def reference_dates(
     )
 
 
-def date_list(spark: SparkSession, start: date | str, end: date | str) -> list[date]:
-    """The monthly dates as values; their number does not depend on the data."""
-    return sorted(row[0] for row in reference_dates(spark, start, end).collect())
+def monthly_dates(start: date | str, end: date | str) -> list[date]:
+    """The same dates as values; a parameter list, its length does not follow the data."""
+    start, end, found = as_date(start), as_date(end), []
+    for month in count(start.month - 1):
+        year = start.year + month // 12
+        last = monthrange(year, month % 12 + 1)[1]
+        day = date(year, month % 12 + 1, min(start.day, last))
+        if day > end:
+            return found
+        found.append(day)
 
 
 def _lookup(values: Sequence[int], position: Column) -> Column:

@@ -116,33 +116,40 @@ def exact_percentiles(
         df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
     )
     running = with_running_totals(counted, group, [F.col(value)], {"_upto": F.col("_n")})
-    return percentiles_of_running(running, group, value, "_n", "_upto", percents)
+    picks = {name: (p, "_n", "_upto") for name, p in percents.items()}
+    return percentiles_of_running(running, group, value, picks)
 
 
 def percentiles_of_running(
     running: DataFrame,
     group: Sequence[str],
     value: str,
-    weight: str,
-    upto: str,
-    percents: Mapping[str, float],
+    picks: Mapping[str, tuple[float, str, str]],
 ) -> DataFrame:
-    """Percentiles from distinct values with weights and running weights."""
-    # Two passes over the small side: group sizes, then the values at each position.
-    sizes = running.groupBy(*group).agg(F.max(upto).alias("_size"))
-    rows = _attach(running, sizes, group) if group else running.join(
-        sizes, F.col(upto) <= F.col("_size")
-    )
-    picks = []
-    for name, p in percents.items():
-        position = F.lit(p) * (F.col("_size") - 1)
-        for edge, index in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+    """Percentiles from distinct values with weights and running weights.
+
+    `picks` names each percentile with its fraction, weight column and running weight
+    column. The value at position fraction * (N - 1) is read off the row that covers it.
+    """
+    uptos = sorted({upto for _, _, upto in picks.values()})
+    sizes = running.groupBy(*group).agg(*[F.max(u).alias(f"_size{u}") for u in uptos])
+    rows = _attach(running, sizes, group)
+
+    def position(fraction: float, upto: str) -> Column:
+        return F.lit(fraction) * (F.col(f"_size{upto}") - 1)
+
+    ends = []
+    for name, (fraction, weight, upto) in picks.items():
+        at = position(fraction, upto)
+        for end, index in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             covered = (index < F.col(upto)) & (index >= F.col(upto) - F.col(weight))
-            picks.append(F.max(F.when(covered, F.col(value))).alias(f"_{edge}_{name}"))
-    picked = rows.groupBy(*group).agg(F.max("_size").alias("_size"), *picks)
+            ends.append(F.max(F.when(covered, F.col(value))).alias(f"_{end}_{name}"))
+    picked = rows.groupBy(*group).agg(
+        *[F.max(f"_size{u}").alias(f"_size{u}") for u in uptos], *ends
+    )
     out = []
-    for name, p in percents.items():
-        position = F.lit(p) * (F.col("_size") - 1)
+    for name, (fraction, _, upto) in picks.items():
+        at = position(fraction, upto)
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((low + (high - low) * (position - F.floor(position))).alias(name))
+        out.append((low + (high - low) * (at - F.floor(at))).alias(name))
     return picked.select(*group, *out)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from winback.contract import TABLES, TRANSACTION_COLUMNS
@@ -47,26 +47,27 @@ class Tables:
     def read(self, layer: str, key: str) -> DataFrame:
         return self.spark.table(self.name(layer, key))
 
+    @staticmethod
+    def _writer(df: DataFrame, by: str | None) -> DataFrameWriter:
+        writer = df.write.format("parquet")
+        if by:
+            # Kept with the table: overwriting touches only partitions that get rows.
+            writer = writer.partitionBy(by).option("partitionOverwriteMode", "dynamic")
+        return writer
+
     def write_full(
         self, df: DataFrame, layer: str, key: str, by: str | None = None
     ) -> None:
         """Replace the whole table."""
         self.create_layer(layer)
-        writer = df.write.format("parquet").mode("overwrite")
-        writer = writer.option("partitionOverwriteMode", "static")
-        if by:
-            writer = writer.partitionBy(by)
-        writer.saveAsTable(self.name(layer, key))
+        self._writer(df, by).mode("overwrite").saveAsTable(self.name(layer, key))
 
     def write_append(
         self, df: DataFrame, layer: str, key: str, by: str | None = None
     ) -> None:
         """Add rows, creating the table at first."""
         self.create_layer(layer)
-        writer = df.write.format("parquet").mode("append")
-        if by:
-            writer = writer.partitionBy(by)
-        writer.saveAsTable(self.name(layer, key))
+        self._writer(df, by).mode("append").saveAsTable(self.name(layer, key))
 
     def write_replace(
         self, df: DataFrame, layer: str, key: str, by: str, value: object | None = None
@@ -84,12 +85,7 @@ class Tables:
             self.write_full(df, layer, key, by=by)
             return
         target = self.read(layer, key)
-        (
-            df.select(*target.columns)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(self.name(layer, key), overwrite=True)
-        )
+        df.select(*target.columns).write.insertInto(self.name(layer, key), overwrite=True)
 
     def drop_partition(self, layer: str, key: str, by: str, value: object) -> None:
         """Delete one partition; a date or a batch id."""
