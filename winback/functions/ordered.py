@@ -1,8 +1,9 @@
 """Exact ranks, running totals and percentiles without a single-task window.
 
 Rows are range-partitioned on the wanted order and written once with their partition
-number. Each partition is then numbered or summed on its own, and an offset per
-partition (one row per partition, however large the data) joins the pieces.
+number. Each partition is then numbered or summed on its own, and offsets (at most one
+row per partition and group border) join the pieces. The offsets are written too: the
+optimiser then knows their size and broadcasts them only below the session's limit.
 """
 
 from __future__ import annotations
@@ -58,7 +59,8 @@ def with_running_totals(
 ) -> DataFrame:
     """Running sums per group in `order`, the row itself included.
 
-    `order` must be a total order within the group.
+    `order` must be a total order within the group. Each sum over the whole group comes
+    along as `<name>_total`.
     """
     summands = {f"_add_{name}": value for name, value in totals.items()}
     pieces = materialise(
@@ -75,7 +77,8 @@ def with_running_totals(
     runs = pieces.groupBy(*group, "_piece").agg(
         *[F.sum(f"_add_{name}").alias(f"_run_{name}") for name in totals]
     )
-    by_piece = Window.partitionBy(*group).orderBy("_piece")
+    everything = Window.partitionBy(*group)
+    by_piece = everything.orderBy("_piece")
     offsets = runs.select(
         *group,
         "_piece",
@@ -85,6 +88,7 @@ def with_running_totals(
             )
             for name in totals
         ],
+        *[F.sum(f"_run_{name}").over(everything).alias(f"{name}_total") for name in totals],
     )
     joined = _attach(summed, offsets, [*group, "_piece"])
     return joined.withColumns(
@@ -93,11 +97,13 @@ def with_running_totals(
 
 
 def _attach(rows: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # Null-safe, so that rows of a null group keep their offset. No broadcast hint: with
-    # few groups the offsets are tiny and adaptive execution broadcasts them by size.
-    renamed = offsets.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *[c for c in offsets.columns if c not in keys],
+    # Null-safe, so that rows of a null group keep their offset.
+    renamed = materialise(
+        offsets.select(
+            *[F.col(k).alias(f"_k_{k}") for k in keys],
+            *[c for c in offsets.columns if c not in keys],
+        ),
+        "offsets",
     )
     condition = F.lit(True)
     for k in keys:
@@ -125,18 +131,19 @@ def percentiles_of_running(
     group: Sequence[str],
     value: str,
     picks: Mapping[str, tuple[float, str, str]],
+    also: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Percentiles from distinct values with weights and running weights.
 
     `picks` names each percentile with its fraction, weight column and running weight
-    column. The value at position fraction * (N - 1) is read off the row that covers it.
+    column. The value at position fraction * (N - 1) is read off the row that covers it,
+    in the same aggregation as the further measures in `also`.
     """
+    also = dict(also or {})
     uptos = sorted({upto for _, _, upto in picks.values()})
-    sizes = running.groupBy(*group).agg(*[F.max(u).alias(f"_size{u}") for u in uptos])
-    rows = _attach(running, sizes, group)
 
     def position(fraction: float, upto: str) -> Column:
-        return F.lit(fraction) * (F.col(f"_size{upto}") - 1)
+        return F.lit(fraction) * (F.col(f"{upto}_total") - 1)
 
     ends = []
     for name, (fraction, weight, upto) in picks.items():
@@ -144,12 +151,14 @@ def percentiles_of_running(
         for end, index in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             covered = (index < F.col(upto)) & (index >= F.col(upto) - F.col(weight))
             ends.append(F.max(F.when(covered, F.col(value))).alias(f"_{end}_{name}"))
-    picked = rows.groupBy(*group).agg(
-        *[F.max(f"_size{u}").alias(f"_size{u}") for u in uptos], *ends
+    picked = running.groupBy(*group).agg(
+        *[F.max(f"{upto}_total").alias(f"{upto}_total") for upto in uptos],
+        *ends,
+        *[measure.alias(name) for name, measure in also.items()],
     )
     out = []
     for name, (fraction, _, upto) in picks.items():
         at = position(fraction, upto)
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         out.append((low + (high - low) * (at - F.floor(at))).alias(name))
-    return picked.select(*group, *out)
+    return picked.select(*group, *out, *also)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from winback.contract import INACTIVE_DAYS, TRANSACTION_COLUMNS
 from winback.functions import lines
 from winback.operators.quality import count_kinds
+from winback.session import materialise
 from winback.sources.bronze import union_parts
 from winback.sources.guards import require_columns
 from winback.sources.tables import Tables
@@ -160,6 +161,7 @@ def customer_profiles(history: DataFrame, start: date | str) -> DataFrame:
 
 def customer_pools(profiles: DataFrame, inactive_days: int = INACTIVE_DAYS) -> DataFrame:
     """Rows per pool; a pool nobody belongs to holds everyone."""
+    profiles = materialise(profiles, "profiles")
     inactive = F.col("inactive_days") >= inactive_days
     sizes = profiles.agg(
         F.count_if(inactive).alias("inactive"), F.count_if(~inactive).alias("active")
@@ -204,6 +206,7 @@ def consolidate_catalog(catalog: DataFrame) -> DataFrame:
 
 
 def with_product_share(catalog: DataFrame) -> DataFrame:
+    catalog = materialise(catalog, "catalog")
     total = catalog.agg(F.sum("frequency")).scalar()
     return catalog.withColumn("product_share", F.col("frequency") / total)
 

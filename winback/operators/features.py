@@ -79,8 +79,8 @@ def windowed_totals(
     merged rows are copied to the dates they count for.
     """
     dates = sorted(as_date(d) for d in dates)
-    entered = first_index_from(F.col("purchase_date"), dates)
-    left = last_index_until(F.date_add("purchase_date", days), dates)
+    entered = first_index_from("purchase_date", dates)
+    left = last_index_until(f"date_add(purchase_date, {days})", dates)
     earliest = dates[0] - timedelta(days=days)
     slotted = (
         lines.filter(F.col("purchase_date").between(F.lit(earliest), F.lit(dates[-1])))

@@ -47,39 +47,38 @@ def evaluate(
         [F.col("_s").desc(), *[F.col(k).asc() for k in keys]],
         {"_seen": F.lit(1), "_hits": F.col("_y")},
     )
-    positive, called = F.col("_y") == 1, F.col("_s") >= threshold
-    sizes = ordered.groupBy(*group).agg(
-        F.count("*").alias("_n"),
-        F.sum("_y").alias("_p"),
-        F.avg(F.pow(F.col("_s") - F.col("_y"), 2)).alias("brier_score"),
-        F.count_if(~positive & ~called).alias("true_negative"),
-        F.count_if(~positive & called).alias("false_positive"),
-        F.count_if(positive & ~called).alias("false_negative"),
-        F.count_if(positive & called).alias("true_positive"),
-    )
     taken = {f: F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(f))) for f in fractions}
-    # Group sizes are one row per group, joined by size, not by hint.
     points = (
-        ordered.join(sizes.select(*group, "_n", "_p"), group)
-        .groupBy(*group, "_s")
+        ordered.withColumnsRenamed({"_seen_total": "_n", "_hits_total": "_p"})
+        .groupBy(*group, "_s", "_n", "_p")
         .agg(
-            F.count("*").alias("_rows"),
             F.sum("_y").alias("_pos"),
+            F.sum(1 - F.col("_y")).alias("_neg"),
             F.max("_seen").alias("_seen"),
             F.max("_hits").alias("_hits"),
             *[
-                F.sum(F.when(F.col("_seen") <= n, F.col("_y")).otherwise(0)).alias(
+                F.sum(F.when(F.col("_seen") <= size, F.col("_y")).otherwise(0)).alias(
                     top_name("_top", f)
                 )
-                for f, n in taken.items()
+                for f, size in taken.items()
             ],
         )
     )
-    pos, neg = F.col("_pos").cast("double"), (F.col("_rows") - F.col("_pos")).cast("double")
-    curves = points.groupBy(*group).agg(
+    pos, neg = F.col("_pos").cast("double"), F.col("_neg").cast("double")
+    called = F.col("_s") >= threshold
+
+    def total_where(condition: Column, amount: str) -> Column:
+        return F.sum(F.when(condition, F.col(amount)).otherwise(0))
+
+    curves = points.groupBy(*group, "_n", "_p").agg(
         F.sum(pos * F.col("_hits") / F.col("_seen")).alias("_precision_sum"),
         # Positives ranked above each negative, ties counting half.
         F.sum(neg * (F.col("_hits") - pos / 2)).alias("_pairs_won"),
+        F.sum(pos * F.pow(F.col("_s") - 1, 2) + neg * F.pow("_s", 2)).alias("_squares"),
+        total_where(~called, "_neg").alias("true_negative"),
+        total_where(called, "_neg").alias("false_positive"),
+        total_where(~called, "_pos").alias("false_negative"),
+        total_where(called, "_pos").alias("true_positive"),
         *[F.sum(top_name("_top", f)).alias(top_name("_top", f)) for f in fractions],
     )
     n, p = F.col("_n"), F.col("_p")
@@ -94,14 +93,14 @@ def evaluate(
             _ratio(precision, p / n).alias(top_name("lift", f)),
         ]
     both_classes = (p > 0) & (p < n)
-    return sizes.join(curves, group).select(
+    return curves.select(
         *group,
         n.alias("row_count"),
         (p / n).alias("positive_rate"),
         ((tp + fp) / n).alias("predicted_positive_rate"),
         F.when(p > 0, F.col("_precision_sum") / p).otherwise(0.0).alias("pr_auc"),
         F.when(both_classes, F.col("_pairs_won") / p / (n - p)).alias("roc_auc"),
-        "brier_score",
+        (F.col("_squares") / n).alias("brier_score"),
         _ratio(tp, tp + fp).alias("precision"),
         _ratio(tp, tp + fn).alias("recall"),
         _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),

@@ -42,7 +42,7 @@ def slot_changes(
     last = dates[-1] + timedelta(days=look_ahead)
     slotted = lines.filter(F.col("purchase_date") <= F.lit(last)).select(
         "customer_id",
-        first_index_from(F.col("purchase_date"), dates).alias("slot"),
+        first_index_from("purchase_date", dates).alias("slot"),
         "purchase_date",
         F.col("quantity").alias("items"),
         F.col("total_amount").alias("spent"),

@@ -50,8 +50,12 @@ def lines(spark: SparkSession, folder: str, rule: str) -> DataFrame:
     return valid_lines(silver(spark, folder), rule)
 
 
+def base_of(silver_lines: DataFrame, rule: str = "modeling") -> DataFrame:
+    return modeling_base(valid_lines(silver_lines, rule), dates(), Parameters(rule=rule))
+
+
 def base(spark: SparkSession, folder: str, rule: str = "modeling") -> DataFrame:
-    return modeling_base(lines(spark, folder, rule), dates(), Parameters(rule=rule))
+    return base_of(silver(spark, folder), rule)
 
 
 def split_base(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,7 +71,10 @@ def round_features(spark: SparkSession, folder: str, rounds=ROUNDS) -> DataFrame
     return scoring_features(lines(spark, folder, "strict"), rounds)
 
 
+def scores_of(silver_lines: DataFrame, rounds=ROUNDS) -> DataFrame:
+    features = scoring_features(valid_lines(silver_lines, "strict"), rounds)
+    return score_population(features, frequency_recency_score(), RULE_MODEL)
+
+
 def scored_rounds(spark: SparkSession, folder: str, rounds=ROUNDS) -> DataFrame:
-    return score_population(
-        round_features(spark, folder, rounds), frequency_recency_score(), RULE_MODEL
-    )
+    return scores_of(silver(spark, folder), rounds)

@@ -30,9 +30,8 @@ def _reference(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _runs(spark: SparkSession, folder: str) -> DataFrame:
+def _runs(silver: DataFrame) -> DataFrame:
     """Manifest of the month before the round and of an older, longer batch."""
-    silver = frames.silver(spark, folder)
 
     def run(scenario: str, first: str, last: str, written: str) -> DataFrame:
         batch = monitoring.round_lines(silver, first, last)
@@ -65,7 +64,7 @@ def monitor_round_window(spark: SparkSession, folder: str) -> DataFrame:
     """SELECT DATE '2001-06-08' AS scoring_date, 'volume_spike' AS scenario""",
 )
 def monitor_scenario(spark: SparkSession, folder: str) -> DataFrame:
-    return monitoring.scenario_at(_runs(spark, folder), _DAY)
+    return monitoring.scenario_at(_runs(frames.silver(spark, folder)), _DAY)
 
 
 _LOT = """lot AS (SELECT *, count(*) OVER (PARTITION BY invoice, stock_code, description, quantity,
@@ -372,15 +371,22 @@ FROM (
 _SUMMARY_ROUNDED = [*_SCORE_STATS, "maximum_feature_psi", "score_psi"]
 
 
+def _stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """History, scores and reference population as the earlier stages leave them."""
+    silver = materialise(frames.silver(spark, folder), "silver")
+    scores = materialise(frames.scores_of(silver), "scores")
+    base = monitoring.at_date(
+        frames.base_of(silver), frames.DRIFT_REFERENCE, "reference_date"
+    )
+    return silver, scores, materialise(base, "reference")
+
+
 def _summary(spark: SparkSession, folder: str) -> DataFrame:
-    return monitoring.summary(
-        _scores(spark, folder),
-        frames.silver(spark, folder),
-        _reference(spark, folder),
-        _runs(spark, folder),
-        _DAY,
-        _drift(spark, folder),
+    silver, scores, reference = _stored(spark, folder)
+    drift = monitoring.feature_drift(
+        reference, monitoring.at_date(scores, _DAY), _DAY, frames.DRIFT_REFERENCE
     )
+    return monitoring.summary(scores, silver, reference, _runs(silver), _DAY, drift)
 
 
 @query("monitor_round_summary", with_steps(_SUMMARY_SQL, _SUMMARY_STEPS))
@@ -404,8 +410,7 @@ def monitor_round_summary(spark: SparkSession, folder: str) -> DataFrame:
 def monitor_stored_tables(spark: SparkSession, folder: str) -> DataFrame:
     """A round monitored twice leaves each table as after the first time."""
     tables = Tables.scratch(spark)
-    scores, reference = _scores(spark, folder), _reference(spark, folder)
-    silver = materialise(frames.silver(spark, folder), "silver")
+    silver, scores, reference = _stored(spark, folder)
     for _ in range(2):
         monitoring.monitor_round(
             tables, scores, silver, reference, None, _DAY, frames.DRIFT_REFERENCE

@@ -78,9 +78,11 @@ class Tables:
         same table as running it once.
         """
         if value is not None:
-            other = F.col(by).isNull() | (F.col(by) != F.lit(value))
-            if not df.filter(other).isEmpty():
-                raise ValueError(f"rows outside {by} = {value}")
+            # Checked row by row while writing, so the frame is computed once; a foreign
+            # row fails the job before anything is committed.
+            foreign = F.raise_error(F.lit(f"rows outside {by} = {value}"))
+            own = F.col(by).eqNullSafe(F.lit(value))
+            df = df.withColumn(by, F.when(own, F.col(by)).otherwise(foreign))
         if not self.exists(layer, key):
             self.write_full(df, layer, key, by=by)
             return
