@@ -27,17 +27,17 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    Only a local master may fall back to a folder of its own.
+    Only a local master without the setting may fall back to a folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="winback-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="winback-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
