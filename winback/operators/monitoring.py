@@ -266,15 +266,15 @@ def performance(
     scores: DataFrame, history: DataFrame, day: date | str, days: int = PREDICTION_DAYS
 ) -> DataFrame:
     """One row of ranking metrics; no row while the window is still open."""
-    matured = target_maturity(history, day, days).filter(F.col("target_status") == "MATURED")
     labelled = matured_labels(scores, history, day, days)
     found = evaluate(labelled, group=("scoring_date",), keys=("customer_id",))
     names = [
         top_name(metric, k) for k in (0.10, 0.20, 0.30) for metric in ("precision", "recall", "lift")
     ]
-    return found.join(matured, "scoring_date").select(
+    status = target_maturity(history, day, days).select("target_status").scalar()
+    return found.filter(status == "MATURED").select(
         "scoring_date",
-        "target_end_date",
+        F.date_add("scoring_date", days).alias("target_end_date"),
         F.lit(PERFORMANCE_TYPE).alias("performance_type"),
         "positive_rate",
         "pr_auc",
@@ -295,26 +295,22 @@ def summary(
 ) -> DataFrame:
     """The one-row report of a round.
 
-    Every part is one row that carries the scoring date, so the parts join on it.
+    Every part is a single row of its own and enters the report as a scalar subquery.
     """
     day = as_date(day)
     current = require_rows(at_date(scores, day), f"scores of {day}")
     window = round_window(scores, day)
     start = window.first()["batch_start_date"]
-    counters = batch_counters(round_lines(history, start, day)).withColumn(
-        "scoring_date", F.lit(day)
-    )
+    counters = batch_counters(round_lines(history, start, day))
     if runs is None:
         scenario = window.select("scoring_date", F.lit(UNKNOWN_SCENARIO).alias("scenario"))
     else:
         scenario = scenario_at(runs, day)
-    model = current.groupBy("scoring_date").agg(
+    model = current.agg(
         F.min_by("model_name", "score_rank").alias("model_name"),
         F.min_by("model_version", "score_rank").alias("model_version"),
     )
-    worst_feature = drift.groupBy("scoring_date").agg(
-        F.max("psi").alias("maximum_feature_psi")
-    )
+    worst_feature = drift.agg(F.max("psi").alias("maximum_feature_psi"))
     parts = [
         scenario,
         model,
@@ -326,10 +322,14 @@ def summary(
         score_drift(scores, day),
         target_maturity(history, day).select("scoring_date", "target_status"),
     ]
-    report = window.select("scoring_date", "batch_start_date")
-    for part in parts:
-        report = report.join(part, "scoring_date")
-    report = report.withColumn(
+    packed = [
+        part.drop("scoring_date").select(F.struct("*")).scalar().alias(f"_{i}")
+        for i, part in enumerate(parts)
+    ]
+    report = window.select("scoring_date", "batch_start_date", *packed)
+    report = report.select(
+        "scoring_date", "batch_start_date", *[f"_{i}.*" for i in range(len(parts))]
+    ).withColumn(
         "feature_drift_status", psi_status(F.col("maximum_feature_psi"))
     )
     watched = ("dq", "volume", "priority", "feature_drift", "score_drift")

@@ -12,6 +12,14 @@ from winback.session import new_folder
 from winback.sources.bronze import union_parts
 
 
+def _rebalanced(df: DataFrame, by: str) -> DataFrame:
+    """Rows of one partition meet in few tasks, a large partition being split by size.
+
+    Without it every task writes a small file into every partition.
+    """
+    return df.hint("rebalance", by)
+
+
 class Tables:
     """Tables addressed by layer and key, one database per layer.
 
@@ -49,11 +57,11 @@ class Tables:
 
     @staticmethod
     def _writer(df: DataFrame, by: str | None) -> DataFrameWriter:
-        writer = df.write.format("parquet")
-        if by:
-            # Kept with the table: overwriting touches only partitions that get rows.
-            writer = writer.partitionBy(by).option("partitionOverwriteMode", "dynamic")
-        return writer
+        if not by:
+            return df.write.format("parquet")
+        # The mode is kept with the table: overwriting touches only partitions that get rows.
+        writer = _rebalanced(df, by).write.format("parquet")
+        return writer.partitionBy(by).option("partitionOverwriteMode", "dynamic")
 
     def write_full(
         self, df: DataFrame, layer: str, key: str, by: str | None = None
@@ -87,7 +95,7 @@ class Tables:
             self.write_full(df, layer, key, by=by)
             return
         target = self.read(layer, key)
-        df.select(*target.columns).write.insertInto(self.name(layer, key), overwrite=True)
+        _rebalanced(df, by).select(*target.columns).write.insertInto(self.name(layer, key), overwrite=True)
 
     def drop_partition(self, layer: str, key: str, by: str, value: object) -> None:
         """Delete one partition; a date or a batch id."""
