@@ -50,8 +50,10 @@ def lines(spark: SparkSession, folder: str, rule: str) -> DataFrame:
     return valid_lines(silver(spark, folder), rule)
 
 
-def base_of(silver_lines: DataFrame, rule: str = "modeling") -> DataFrame:
-    return modeling_base(valid_lines(silver_lines, rule), dates(), Parameters(rule=rule))
+def base_of(
+    silver_lines: DataFrame, rule: str = "modeling", on: list[date] | None = None
+) -> DataFrame:
+    return modeling_base(valid_lines(silver_lines, rule), on or dates(), Parameters(rule=rule))
 
 
 def base(spark: SparkSession, folder: str, rule: str = "modeling") -> DataFrame:

@@ -23,11 +23,12 @@ def _scores(spark: SparkSession, folder: str) -> DataFrame:
     return materialise(frames.scored_rounds(spark, folder), "scores")
 
 
-def _reference(spark: SparkSession, folder: str) -> DataFrame:
-    base = frames.base(spark, folder)
-    return materialise(
-        monitoring.at_date(base, frames.DRIFT_REFERENCE, "reference_date"), "reference"
-    )
+def _stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """History, scores and reference population as the earlier stages leave them."""
+    silver = materialise(frames.silver(spark, folder), "silver")
+    scores = materialise(frames.scores_of(silver), "scores")
+    reference = frames.base_of(silver, on=[as_date(frames.DRIFT_REFERENCE)])
+    return silver, scores, materialise(reference, "reference")
 
 
 def _runs(silver: DataFrame) -> DataFrame:
@@ -141,7 +142,7 @@ volume AS (SELECT *, CASE WHEN abs(volume_change) >= 0.5 THEN 'CRITICAL'
 )
 def monitor_volume_change(spark: SparkSession, folder: str) -> DataFrame:
     """A round with one before it, and the first round against the reference population."""
-    scores, reference = _scores(spark, folder), _reference(spark, folder)
+    _, scores, reference = _stored(spark, folder)
     first = monitoring.volume_change(scores, reference, frames.ROUNDS[0])
     return first.unionByName(monitoring.volume_change(scores, reference, _DAY))
 
@@ -202,8 +203,8 @@ drift AS (SELECT DATE '2001-06-08' AS scoring_date, DATE '2000-06-08' AS referen
 
 
 def _drift(spark: SparkSession, folder: str) -> DataFrame:
-    reference = _reference(spark, folder)
-    current = monitoring.at_date(_scores(spark, folder), _DAY)
+    _, scores, reference = _stored(spark, folder)
+    current = monitoring.at_date(scores, _DAY)
     return monitoring.feature_drift(reference, current, _DAY, frames.DRIFT_REFERENCE)
 
 
@@ -224,8 +225,8 @@ def monitor_feature_drift(spark: SparkSession, folder: str) -> DataFrame:
     with_steps("SELECT feature_name, psi FROM fpsi", _FEATURE_PSI),
 )
 def monitor_feature_psi(spark: SparkSession, folder: str) -> DataFrame:
-    current = monitoring.at_date(_scores(spark, folder), _DAY)
-    found = psi(_reference(spark, folder), current, FEATURES)
+    _, scores, reference = _stored(spark, folder)
+    found = psi(reference, monitoring.at_date(scores, _DAY), FEATURES)
     return found.withColumn("psi", F.round("psi", 6))
 
 
@@ -339,7 +340,8 @@ _PERFORMANCE = [
 )
 def monitor_performance(spark: SparkSession, folder: str) -> DataFrame:
     """The matured round's metrics; the open round adds no row."""
-    scores, silver = _scores(spark, folder), frames.silver(spark, folder)
+    silver = materialise(frames.silver(spark, folder), "silver")
+    scores = materialise(frames.scores_of(silver), "scores")
     both = monitoring.performance(scores, silver, _DAY).unionByName(
         monitoring.performance(scores, silver, _OPEN)
     )
@@ -371,16 +373,6 @@ FROM (
 _SUMMARY_ROUNDED = [*_SCORE_STATS, "maximum_feature_psi", "score_psi"]
 
 
-def _stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """History, scores and reference population as the earlier stages leave them."""
-    silver = materialise(frames.silver(spark, folder), "silver")
-    scores = materialise(frames.scores_of(silver), "scores")
-    base = monitoring.at_date(
-        frames.base_of(silver), frames.DRIFT_REFERENCE, "reference_date"
-    )
-    return silver, scores, materialise(base, "reference")
-
-
 def _summary(spark: SparkSession, folder: str) -> DataFrame:
     silver, scores, reference = _stored(spark, folder)
     drift = monitoring.feature_drift(

@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Plans are built from many small expressions; recording the source line of each one
+    # costs more than the rest of building them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
