@@ -11,7 +11,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from winback.session import configure
 
@@ -54,9 +54,8 @@ def _rows(columns, rows):
     )
 
 
-def difference(spark: SparkSession, con, query, sql: str, folder: str) -> str | None:
+def difference(con, found: DataFrame, sql: str) -> str | None:
     """None when columns, rows and values agree, else what differs."""
-    found = query(spark, folder)
     got = _rows(found.columns, [tuple(r) for r in found.collect()])
     result = con.execute(sql)
     names = [d[0] for d in result.description]
@@ -83,7 +82,7 @@ def main() -> None:
         start = time.time()
         try:
             if name in sql:
-                problem = difference(spark, con, queries[name], sql[name], folder)
+                problem = difference(con, queries[name](spark, folder), sql[name])
             else:
                 rows = len(queries[name](spark, folder).collect())
                 problem = None if rows else "no rows"

@@ -63,19 +63,6 @@ def test_hot_copies(hot):
     assert row.row_count == copies.count() and row.distinct_rows == hot.distinct().count()
 
 
-SQL_NAMES = sorted(n for n in all_queries() if not n.startswith(
-    ("table_", "monitor_stored", "registry_", "model_logistic", "model_boosted", "model_search",
-     "score_with_champion", "explain_tree")))
-
-
-@pytest.mark.parametrize("name", SQL_NAMES)
-def test_no_python_and_no_cartesian_product(spark, name):
-    plan = plan_of(all_queries()[name](spark, SMALL))
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    for node in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroups"):
-        assert node not in plan
-
-
 def test_base_reads_lines_once_and_does_not_copy_them(spark):
     plan = plan_of(frames.base(spark, SMALL)).split("== Physical Plan ==")[1]
     assert plan.count("lineitem.parquet") == 1

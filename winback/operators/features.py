@@ -55,13 +55,16 @@ def modeling_base(
     With `params.observation_days`, features see only that many days up to the date
     (both ends included) and are NULL where the customer bought nothing in them.
     """
-    changes = slot_changes(lines, dates, look_ahead=params.prediction_days)
+    windowed = params.observation_days is not None
+    # With a window only the population comes from the whole history, not the counts.
+    counted = {} if windowed else COUNTED
+    changes = slot_changes(lines, dates, counted, look_ahead=params.prediction_days)
     base = (
-        as_of(changes, dates)
+        as_of(changes, dates, tuple(counted.values()))
         .transform(eligible, params.inactive_days)
         .transform(with_target, params.prediction_days)
     )
-    if params.observation_days is None:
+    if not windowed:
         return base.transform(with_ratios).select(*BASE_COLUMNS)
     keys = base.select(
         "customer_id", "reference_date", "last_purchase_date", "inactive_days", TARGET
@@ -71,7 +74,10 @@ def modeling_base(
 
 
 def windowed_totals(
-    lines: DataFrame, dates: Sequence[date], days: int = OBSERVATION_DAYS
+    lines: DataFrame,
+    dates: Sequence[date],
+    days: int = OBSERVATION_DAYS,
+    counted: dict[str, str] = COUNTED,
 ) -> DataFrame:
     """Counts and sums over [reference date - days, reference date].
 
@@ -91,7 +97,7 @@ def windowed_totals(
             "purchase_date",
             F.col("quantity").alias("items"),
             F.col("total_amount").alias("spent"),
-            *COUNTED,
+            *counted,
         )
         .filter(F.col("_from") <= F.col("_to"))
         .withColumn("_span", F.lit(""))
@@ -99,7 +105,7 @@ def windowed_totals(
     kept = ["customer_id", "_from", "_to", "purchase_date", "items", "spent"]
     per_span = F.col("kind") == "_span"
     merged = (
-        slotted.unpivot(kept, [*COUNTED, "_span"], "kind", "value")
+        slotted.unpivot(kept, [*counted, "_span"], "kind", "value")
         .filter(F.col("value").isNotNull())
         .groupBy("customer_id", "kind", "value", "_from", "_to")
         .agg(
@@ -123,7 +129,7 @@ def windowed_totals(
             F.min("first_day").alias("first_purchase_date"),
             F.sum("items").alias("total_items"),
             F.sum("spent").alias("total_spent"),
-            *[F.count_if(F.col("kind") == name).alias(count) for name, count in COUNTED.items()],
+            *[F.count_if(F.col("kind") == name).alias(count) for name, count in counted.items()],
         )
         .withColumn("reference_date", date_at(F.col("_at"), dates))
         .drop("_at")
@@ -178,7 +184,7 @@ def extra_features(
             F.col("total_spent").cast("double").alias("total_spent"),
         )
     )
-    recent = windowed_totals(lines, dates, days).select(
+    recent = windowed_totals(lines, dates, days, counted={}).select(
         "customer_id",
         "reference_date",
         F.col("total_spent").cast("double").alias("recent_spent"),

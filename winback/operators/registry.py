@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from winback.contract import CHAMPION, FEATURES, GUARDRAILS, ModelInfo
 from winback.operators.models import check_features
+from winback.operators.search import Trial, best_trial
 from winback.sources.tables import Tables
 
 FINISHED = "FINISHED"
@@ -76,6 +77,33 @@ def log_run(
     return run_id
 
 
+def log_trials(tables: Tables, found: Sequence[Trial], name: str) -> str:
+    """A run for the search with its best settings, and one child run per trial."""
+    best = best_trial(found)
+    parent = log_run(
+        tables, name, best.settings, {SELECTION_METRIC: best.valid_pr_auc},
+        tags={"run_role": "search", "trials": str(len(found)), "best_trial": str(best.number)},
+        status="SEARCHED",
+    )
+    rows = [
+        (
+            uuid.uuid4().hex,
+            f"trial_{t.number:03d}",
+            parent,
+            "TRIED",
+            {k: str(v) for k, v in t.settings.items()},
+            {SELECTION_METRIC: t.valid_pr_auc},
+            {"run_role": "trial", "optimization_metric": SELECTION_METRIC},
+            None,
+            _now(),
+        )
+        for t in found
+    ]
+    trials = tables.spark.createDataFrame(rows, RUN_SCHEMA)
+    tables.write_append(trials, "registry", "runs")
+    return parent
+
+
 def leaderboard(runs: DataFrame, metric: str = SELECTION_METRIC, rows: int = 1) -> DataFrame:
     """Best finished runs by a metric; runs without it come last."""
     return (
