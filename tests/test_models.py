@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from winback.contract import CHAMPION, FEATURES, PROBABILITY, TARGET, ModelInfo
-from winback.functions.trees import leaf_table, model_nodes
+from winback.functions.trees import model_nodes
 from winback.operators import explain, models, registry, search, splits
 from winback.operators.quality import DataQualityError
 from winback.sources.tables import Tables

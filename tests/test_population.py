@@ -3,7 +3,6 @@ import datetime as dt
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from winback.contract import INACTIVE_DAYS, OBSERVATION_DAYS, PREDICTION_DAYS, TARGET, Parameters
 from winback.functions import dates as dates_module

@@ -10,7 +10,7 @@ from tests.conftest import SMALL
 from winback.functions.dates import monthly_dates
 from winback.operators import explore, quality
 from winback.operators.cleaning import valid_lines
-from winback.operators.features import modeling_base, scoring_features
+from winback.operators.features import scoring_features
 from winback.plans import all_queries, frames
 
 

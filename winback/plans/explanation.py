@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.contract import FEATURES, PROBABILITY, ModelInfo
+from winback.contract import PROBABILITY, ModelInfo
 from winback.functions.dates import as_date
-from winback.operators import explain, models, scoring
+from winback.operators import explain, scoring
 from winback.plans import frames
 from winback.plans.catalog import query
 from winback.plans.sql import FEATURE_LIST, with_steps

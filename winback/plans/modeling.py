@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.contract import OBSERVATION_DAYS, PROBABILITY, TARGET, Parameters
+from winback.contract import OBSERVATION_DAYS, TARGET, Parameters
 from winback.functions.dates import as_date, reference_dates
 from winback.operators import features, metrics, population, registry, splits
 from winback.operators.models import prior_scores
