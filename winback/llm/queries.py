@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import packing, token_counts, token_shards
+from winback.llm import packing, positional_index, token_counts, token_shards
 from winback.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,13 @@ def op3_packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "positional-index")
+    positional_index.build(table(spark, folder, "documents"), path)
+    found = positional_index.search(spark, path, table(spark, folder, "benchmark"))
+    return positional_index.contamination(found)
+
+
 def op6_length_histogram(spark: SparkSession, folder: str) -> DataFrame:
     lengths = token_counts.encoded_lengths(
         table(spark, folder, "documents"),
@@ -61,6 +68,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_token_shards,
         op3_packed_sequences,
+        op5_decontamination,
         op6_length_histogram,
     )
 }
