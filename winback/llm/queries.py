@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import packing, positional_index, token_counts, token_shards
+from winback.llm import packing, positional_index, simhash, token_counts, token_shards
 from winback.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,11 @@ def op6_length_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.histogram(lengths)
 
 
+def op8_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.withColumn("fingerprint", simhash.hex_digits("fingerprint"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -70,6 +75,7 @@ QUERIES: dict[str, Query] = {
         op3_packed_sequences,
         op5_decontamination,
         op6_length_histogram,
+        op8_simhash_components,
     )
 }
 SQL: dict[str, str] = {}
