@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import packing, positional_index, simhash, token_counts, token_shards
+from winback.llm import (
+    packing,
+    positional_index,
+    quality,
+    simhash,
+    token_counts,
+    token_shards,
+)
+from winback.llm.learning import held_out
 from winback.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +76,26 @@ def op8_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash.hex_digits("fingerprint"))
 
 
+QUALITY_CUT = 0.7
+
+
+def quality_model(spark: SparkSession, documents: DataFrame, folder: str) -> quality.Model:
+    return quality.fit(
+        documents, table(spark, folder, "labels"), "quality", ~held_out("doc_id", 4, 2)
+    )
+
+
+def op10_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = quality_model(spark, documents, folder)
+    return quality.with_score(documents.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out("doc_id", 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -76,6 +104,7 @@ QUERIES: dict[str, Query] = {
         op5_decontamination,
         op6_length_histogram,
         op8_simhash_components,
+        op10_quality_scores,
     )
 }
 SQL: dict[str, str] = {}
