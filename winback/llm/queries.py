@@ -15,6 +15,7 @@ from winback.llm import (
     simhash,
     token_counts,
     token_shards,
+    toxicity,
 )
 from winback.llm.learning import held_out
 from winback.session import new_folder
@@ -46,6 +47,27 @@ def op1_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+TOXIC_CUT = 0.5
+
+
+def toxicity_model(spark: SparkSession, documents: DataFrame, folder: str) -> toxicity.Model:
+    return toxicity.fit(
+        documents, table(spark, folder, "labels"), "toxic", ~held_out("doc_id", 5, 0)
+    )
+
+
+def op2_toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = toxicity_model(spark, documents, folder)
+    return toxicity.with_score(documents.select("doc_id", "text"), model, spans="spans").select(
+        "doc_id",
+        held_out("doc_id", 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_CUT).cast("int").alias("predicted"),
+        "spans",
+    )
+
+
 def op3_packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(
         table(spark, folder, "documents"),
@@ -100,6 +122,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_shards,
+        op2_toxicity_scores,
         op3_packed_sequences,
         op5_decontamination,
         op6_length_histogram,
