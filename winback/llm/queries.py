@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winback.llm import (
+    language,
+    neighbours,
     packing,
     positional_index,
     quality,
@@ -16,6 +18,7 @@ from winback.llm import (
     token_counts,
     token_shards,
     toxicity,
+    url_filter,
 )
 from winback.llm.learning import held_out
 from winback.session import new_folder
@@ -77,6 +80,14 @@ def op3_packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_languages(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = language.fit(documents, ~held_out("doc_id", 5, 0))
+    return language.with_language(documents.select("doc_id", "text"), model).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "positional-index")
     positional_index.build(table(spark, folder, "documents"), path)
@@ -93,11 +104,28 @@ def op6_length_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.histogram(lengths)
 
 
+URL_RULES = (
+    (url_filter.ALLOW, "com/"),
+    (url_filter.BLOCK, "example.com/en/"),
+    (url_filter.ALLOW, "www.example.com/en/"),
+    (url_filter.BLOCK, "net/es/"),
+    (url_filter.BLOCK, "net/fr/"),
+)
+
+
+def op7_url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"), URL_RULES)
+
+
 def op8_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.withColumn("fingerprint", simhash.hex_digits("fingerprint"))
 
 
+def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUALITY_CUT = 0.7
 
 
@@ -124,9 +152,12 @@ QUERIES: dict[str, Query] = {
         op1_token_shards,
         op2_toxicity_scores,
         op3_packed_sequences,
+        op4_languages,
         op5_decontamination,
         op6_length_histogram,
+        op7_url_verdicts,
         op8_simhash_components,
+        op9_neighbours,
         op10_quality_scores,
     )
 }
