@@ -1,13 +1,70 @@
-"""The training-text pipeline: stages over `documents`, each written and read again."""
+"""The training-text pipeline: stages over `documents`, each written and read again.
+
+Every stage but the last returns the columns it was given. A document id stands for its
+rows: where a decision is made per id (copies, contamination), rows without an id are
+kept, and of rows that repeat a kept id one stays after the near-duplicate stage.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from winback.llm import packing, positional_index, quality, simhash, toxicity
+from winback.llm.queries import (
+    CONTEXT,
+    QUALITY_CUT,
+    TOXIC_CUT,
+    quality_model,
+    table,
+    toxicity_model,
+)
+from winback.session import materialise, new_folder
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of quality: those the classifier accepts."""
+    scored = quality.with_score(docs, quality_model(spark, docs, sf_dir), "_quality")
+    return scored.filter(F.col("_quality") >= QUALITY_CUT).drop("_quality")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the random field does not find toxic."""
+    scored = toxicity.with_score(docs, toxicity_model(spark, docs, sf_dir), "_toxicity")
+    return scored.filter(F.col("_toxicity") < TOXIC_CUT).drop("_toxicity")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints: the one with the smallest id."""
+    found = simhash.near_duplicates(docs)
+    kept = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = materialise(kept, "kept")
+    unnamed = docs.filter(F.col("doc_id").isNull())
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(unnamed)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth is inside a benchmark window."""
+    path = new_folder(spark, "positional-index")
+    positional_index.build(docs, path)
+    found = positional_index.search(spark, path, table(spark, sf_dir, "benchmark"))
+    hit = positional_index.contamination(found).filter("contaminated").select("doc_id").distinct()
+    return docs.join(materialise(hit, "contaminated"), "doc_id", "left_anti").select(docs.columns)
+
+
+def pack_best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each in its place of a sequence."""
+    return packing.pack(docs, CONTEXT, public_tokenizers.path("word_bpe_49k.json"), "white_space")
 
-from winback.llm.queries import table
-from winback.session import materialise
 
-STAGES: list = []
+STAGES = [
+    ("quality", keep_quality),
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("packing", pack_best_fit),
+]
 
 # Tokenizers and fitted classifiers have no SQL; the tests hold the rows against brute force.
 ORACLE_SQL = None
@@ -15,6 +72,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
