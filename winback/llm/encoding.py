@@ -9,14 +9,14 @@ library's encoding of the whole text; `cuts=None` sends whole texts instead.
 from __future__ import annotations
 
 import functools
-import itertools
 import os
 import re
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from winback.llm.texts import Flat, binary_array, byte_set, flatten, gather
+from winback.llm.texts import Flat, binary_array, byte_set, flatten, gather, hash_bytes
 
 # Distinct pieces remembered between batches of one worker.
 REMEMBERED = 1_000_000
@@ -61,6 +61,71 @@ CUTS = {"byte_level": (byte_level_cuts, "\n"), "white_space": (white_space_cuts,
 JOINED = 4_000
 
 
+class _Known:
+    """Pieces with the place of their ids: a hash table of arrays, some 50 bytes a piece."""
+
+    def __init__(self, capacity: int):
+        self.mask = (1 << max(4, (2 * capacity).bit_length())) - 1
+        self.slots = np.full(self.mask + 1, -1, np.int32)
+        self.size = 0
+        self.hashes = np.zeros(capacity, np.uint64)
+        self.starts = np.zeros(capacity, np.int32)
+        self.counts = np.zeros(capacity, np.int32)
+        self.ends = np.zeros(capacity + 1, np.int64)
+        self.data = np.zeros(0, np.uint8)
+
+    def find(self, hashes: np.ndarray, keys: Flat) -> np.ndarray:
+        """Row of each key, -1 where it is new."""
+        rows = np.full(len(hashes), -1, np.int64)
+        place = (hashes & np.uint64(self.mask)).astype(np.int64)
+        live = np.arange(len(hashes))
+        while len(live):
+            held = self.slots[place[live]]
+            same = (held >= 0) & (self.hashes[held] == hashes[live])
+            rows[live[same]] = held[same]
+            live = live[(held >= 0) & ~same]
+            place[live] = (place[live] + 1) & self.mask
+        self._verify(rows, keys)
+        return rows
+
+    def _verify(self, rows: np.ndarray, keys: Flat) -> None:
+        """A key that only shares its hash is new."""
+        found = np.flatnonzero(rows >= 0)
+        lengths = np.diff(keys.offsets)[found]
+        held = rows[found]
+        wrong = self.ends[held + 1] - self.ends[held] != lengths
+        rows[found[wrong]] = -1
+        found, lengths, held = found[~wrong], lengths[~wrong], held[~wrong]
+        mine = gather(keys.data, keys.offsets[found], lengths)
+        theirs = gather(self.data, self.ends[held], lengths)
+        differ = np.flatnonzero(mine != theirs)
+        if len(differ):
+            owner = np.searchsorted(np.cumsum(lengths), differ, "right")
+            rows[found[owner]] = -1
+
+    def add(
+        self, hashes: np.ndarray, keys: Flat, chosen: np.ndarray, starts: np.ndarray, counts: np.ndarray
+    ) -> np.ndarray:
+        """Rows of new keys, `chosen` among `keys`."""
+        first, n = self.size, len(hashes)
+        rows = np.arange(first, first + n)
+        self.size += n
+        self.hashes[rows], self.starts[rows], self.counts[rows] = hashes, starts, counts
+        lengths = np.diff(keys.offsets)[chosen]
+        self.ends[rows + 1] = self.ends[first] + np.cumsum(lengths)
+        self.data = np.concatenate((self.data, gather(keys.data, keys.offsets[chosen], lengths)))
+        place = (hashes & np.uint64(self.mask)).astype(np.int64)
+        live = np.arange(n)
+        while len(live):
+            at = place[live]
+            free = self.slots[at] < 0
+            # Of several keys for one slot the last is in; the others go on.
+            self.slots[at[free]] = rows[live[free]]
+            live = live[self.slots[at] != rows[live]]
+            place[live] = (place[live] + 1) & self.mask
+        return rows
+
+
 class Encoder:
     """Ids of many texts; keeps what it learned about pieces for the next batch."""
 
@@ -74,10 +139,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = _Known(self.remembered)
         self.ids = np.zeros(0, np.uint32)
-        self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int64)
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -96,7 +159,8 @@ class Encoder:
             found.append(ids[ids != self.separator_id])
         return np.concatenate(found), np.concatenate(lengths)
 
-    def _learn(self, pieces: list[bytes]) -> None:
+    def _learn(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of new pieces, and where each piece's ids start and how many they are."""
         mark = self.separator.strip(" ").encode() if self.cuts else b""
         plain = _PLAIN.fullmatch
         together = [p for p in pieces if mark and plain(p) and mark not in p]
@@ -108,11 +172,14 @@ class Encoder:
             more = self._joined([p.decode("utf-8", "replace") for p in together])
             ids.append(more[0])
             lengths.append(more[1])
-        length = np.concatenate(lengths)
-        self.known.update(zip(alone + together, range(len(self.known), len(self.known) + len(pieces))))
-        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(length) - length))
-        self.lengths = np.concatenate((self.lengths, length))
-        self.ids = np.concatenate((self.ids, *ids))
+        # Back in the order of the pieces.
+        length, ids = np.concatenate(lengths), np.concatenate(ids)
+        starts = np.cumsum(length) - length
+        apart = np.array([p not in joined for p in pieces])
+        order = np.empty(len(pieces), np.int64)
+        order[apart] = np.arange(len(alone))
+        order[~apart] = len(alone) + np.arange(len(together))
+        return ids, starts[order], length[order]
 
     def encode(self, flat: Flat) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the number of ids of each text."""
@@ -127,19 +194,25 @@ class Encoder:
         if len(edges) < 2:
             return np.zeros(0, np.uint32), np.zeros(n, np.int64)
         pieces = binary_array(flat.data, np.diff(edges)).dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > self.remembered:
+        distinct = pieces.dictionary
+        hashes = hash_bytes(distinct, 64).view(np.uint64)
+        if self.known.size + len(distinct) > self.remembered:
             self._forget()
-        places = map(self.known.get, distinct, itertools.repeat(-1))
-        rows = np.fromiter(places, np.int64, len(distinct))
+            if len(distinct) > self.remembered:
+                self.known = _Known(len(distinct))
+        known = self.known
+        keys = flatten(distinct)
+        rows = known.find(hashes, keys)
         fresh = np.flatnonzero(rows < 0)
         if len(fresh):
-            pieces_to_learn = [distinct[i] for i in fresh.tolist()]
-            self._learn(pieces_to_learn)
-            rows[fresh] = [self.known[piece] for piece in pieces_to_learn]
+            ids, starts, counts = self._learn(distinct.take(pa.array(fresh)).to_pylist())
+            rows[fresh] = known.add(
+                hashes[fresh], keys, fresh, starts + len(self.ids), counts
+            )
+            self.ids = np.concatenate((self.ids, ids))
         rows = rows[pieces.indices.to_numpy(zero_copy_only=False)]
-        lengths = self.lengths[rows]
-        ids = gather(self.ids, self.starts[rows], lengths)
+        lengths, starts = known.counts[rows].astype(np.int64), known.starts[rows]
+        ids = gather(self.ids, starts, lengths)
         upto = np.concatenate(([0], np.cumsum(lengths)))
         return ids, np.diff(upto[np.searchsorted(edges[:-1], flat.offsets)])
 

@@ -29,7 +29,7 @@ CONTEXT = 2048
 
 
 # Rows of an Arrow batch: with Spark's 10,000 a batch of long texts would not fit a worker.
-BATCH_ROWS = "2000"
+BATCH_ROWS = "1000"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -12,8 +12,9 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
-PART_BYTES = 4 << 20
+PART_BYTES = 2 << 20
 
 
 class Flat(NamedTuple):
@@ -53,6 +54,8 @@ def parts(batch: pa.RecordBatch, text: str, limit: int = PART_BYTES) -> Iterator
         before = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
         yield batch.slice(start, stop - start)
+        # What the part needed goes back to the system, not to a pool that only grows.
+        pa.default_memory_pool().release_unused()
         start = stop
 
 
@@ -133,10 +136,16 @@ def words(flat: Flat, kept: np.ndarray) -> Words:
     )
 
 
+# Longer values are hashed one by one, so that a single long one costs no more than itself.
+_LONG = 48
+
+
 def hash_bytes(terms: pa.Array, bits: int, seed: int = 0) -> np.ndarray:
-    """A polynomial hash of each binary value, folded to `bits` bits."""
+    """A hash of each binary value, folded to `bits` bits."""
     flat = flatten(terms)
-    lengths = np.diff(flat.offsets)
+    whole = np.diff(flat.offsets)
+    long = np.flatnonzero(whole > _LONG)
+    lengths = np.where(whole > _LONG, 0, whole)
     out = np.full(len(lengths), 0x9E3779B97F4A7C15 ^ seed, np.uint64)
     prime = np.uint64(0x100000001B3)
     with np.errstate(over="ignore"):
@@ -150,6 +159,8 @@ def hash_bytes(terms: pa.Array, bits: int, seed: int = 0) -> np.ndarray:
             live = int(np.searchsorted(-sorted_lengths[:live], -at, "left"))
             held[:live] = (held[:live] ^ flat.data[begin[:live] + at]) * prime
         out[order] = held
+        for i in long.tolist():
+            out[i] = xxhash.xxh64_intdigest(flat.text(i), seed)
         return mix(out, bits)
 
 
@@ -159,4 +170,5 @@ def mix(values: np.ndarray, bits: int) -> np.ndarray:
         values = values.astype(np.uint64)
         values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
         values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return (values >> np.uint64(64 - bits)).astype(np.int64)
+        # 64 bits fill the sign as well.
+        return (values >> np.uint64(64 - bits)).view(np.int64)
