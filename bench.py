@@ -42,6 +42,8 @@ def main() -> None:
     builder = (
         builder.config("spark.sql.shuffle.partitions", cores)
         .config("spark.ui.enabled", "false")
+        # The lines of sf0.1 are one file with one row group.
+        .config("spark.winback.pieces", cores)
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
     )
     spark = configure(builder).getOrCreate()

@@ -5,7 +5,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from winback.contract import INACTIVE_DAYS, OBSERVATION_DAYS, PREDICTION_DAYS, TARGET, Parameters
-from winback.functions import dates as dates_module
 from winback.functions.dates import first_index_from, last_index_until, monthly_dates, reference_dates
 from winback.operators.cleaning import valid_lines
 from winback.operators.features import modeling_base, scoring_features, windowed_totals
@@ -90,9 +89,7 @@ def test_reference_dates_clip_to_month_ends(spark):
     assert len(monthly_dates("2010-03-08", "2011-11-08")) == 21
 
 
-@pytest.mark.parametrize("compared", [0, 64])
-def test_slots_of_days(spark, monkeypatch, compared):
-    monkeypatch.setattr(dates_module, "_COMPARED_DATES", compared)
+def test_slots_of_days(spark):
     dates = [dt.date(2011, 1, 31), dt.date(2011, 2, 1), dt.date(2011, 4, 10)]
     days = [dt.date(2011, 1, 25) + dt.timedelta(days=i) for i in range(90)]
     df = spark.createDataFrame([(d,) for d in days], "day date")

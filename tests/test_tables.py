@@ -165,7 +165,7 @@ def test_guards(spark, make_lines):
         require_columns(lines, ["invoice", "nope"])
     with pytest.raises(ValueError, match="no rows"):
         require_rows(lines.limit(0), "batch")
-    with pytest.raises(ValueError, match="gone"):
-        require_tables(spark, ["gone"])
+    with pytest.raises(ValueError, match="missing tables"):
+        require_tables(Tables.scratch(spark), ("gold", "modeling"))
     text = lines.select(*[F.col(c).cast("string").alias(c) for c in reversed(lines.columns)])
     assert conform(text, lines.schema).schema == lines.schema

@@ -22,8 +22,10 @@ RANDOM_SEED = 19
 SAMPLE_SEED = 42
 CHAMPION = "champion"
 
+# Column names that stored tables share; the month silver is stored by.
 TARGET = "target_reactivated_30d"
 PROBABILITY = "reactivation_probability"
+MONTH = "invoice_month"
 
 # Model features, in model order.
 FEATURES = (
@@ -51,6 +53,7 @@ BRONZE_NAMES = {
     "Country": "country",
 }
 
+# The transaction row.
 TRANSACTION_SCHEMA = T.StructType(
     [
         T.StructField("invoice", T.StringType()),
@@ -76,6 +79,7 @@ TABLES = {
     "registry": ("runs", "versions", "aliases"),
 }
 
+# Columns of the score table, in order.
 SCORE_COLUMNS = (
     "customer_id",
     "scoring_date",
@@ -97,7 +101,7 @@ SCORE_COLUMNS = (
 
 @dataclass(frozen=True)
 class Parameters:
-    """One run's settings; defaults follow the contract."""
+    """One run's settings; the defaults are fixed values of the contract."""
 
     inactive_days: int = INACTIVE_DAYS
     observation_days: int | None = None

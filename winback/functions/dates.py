@@ -40,44 +40,31 @@ def monthly_dates(start: date | str, end: date | str) -> list[date]:
         found.append(day)
 
 
-# Up to this many dates are compared one by one; longer lists become a table by day.
-_COMPARED_DATES = 64
-
-
 def _lookup(values: Sequence[int], position: Column) -> Column:
     table = F.expr(f"array({','.join(map(str, values))})")
     last = len(values) - 1
     return F.get(table, F.least(F.greatest(position, F.lit(0)), F.lit(last)))
 
 
-def _count_true(conditions: Sequence[str]) -> Column:
-    # One text, so that a long list is one call into the session.
-    return F.expr(" + ".join(f"int({c})" for c in conditions))
-
-
 def first_index_from(day: str, dates: Sequence[date]) -> Column:
     """Position of the first of `dates` not before the day in a column; len(dates) if none."""
-    if len(dates) <= _COMPARED_DATES:
-        return _count_true([f"{day} > DATE '{d}'" for d in dates])
     positions, index = [], 0
     for offset in range((dates[-1] - dates[0]).days + 1):
         if dates[0] + timedelta(days=offset) > dates[index]:
             index += 1
         positions.append(index)
     positions.append(len(dates))
-    return _lookup(positions, F.datediff(day, F.lit(dates[0])))
+    return _lookup(positions, F.datediff(F.expr(day), F.lit(dates[0])))
 
 
 def last_index_until(day: str, dates: Sequence[date]) -> Column:
     """Position of the last of `dates` not after the day in a column; -1 if none."""
-    if len(dates) <= _COMPARED_DATES:
-        return _count_true([f"{day} >= DATE '{d}'" for d in dates]) - 1
     positions, index = [-1], -1
     for offset in range((dates[-1] - dates[0]).days + 1):
         if index + 1 < len(dates) and dates[0] + timedelta(days=offset) >= dates[index + 1]:
             index += 1
         positions.append(index)
-    return _lookup(positions, F.datediff(day, F.lit(dates[0])) + 1)
+    return _lookup(positions, F.datediff(F.expr(day), F.lit(dates[0])) + 1)
 
 
 def date_at(index: Column, dates: Sequence[date]) -> Column:

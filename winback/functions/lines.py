@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from winback.contract import MONTH
+
 # Markers in the source columns.
 CANCEL_PREFIX = "C"
 TEST_PREFIX = "TEST"
@@ -60,3 +62,23 @@ def after_within(day: date | str, days: int) -> Column:
 
 def between(first: date | str, last: date | str) -> Column:
     return purchase_day().between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+
+
+def month() -> Column:
+    """The month of a line, as stored silver is partitioned by it."""
+    return F.date_format("invoice_date", "yyyy-MM")
+
+
+def in_months(df: DataFrame, first: date | str | Column, last: date | str | Column) -> DataFrame:
+    """Lines of the months from `first` to `last`, where the frame knows the month.
+
+    Only narrows what is read; a condition on the day still has to follow.
+    """
+    if MONTH not in df.columns:
+        return df
+
+    def of(day: date | str | Column) -> Column:
+        day = day if isinstance(day, Column) else F.lit(str(day)).cast("date")
+        return F.date_format(day, "yyyy-MM")
+
+    return df.filter(F.col(MONTH).between(of(first), of(last)))

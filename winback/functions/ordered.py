@@ -91,24 +91,26 @@ def with_running_totals(
         *[F.sum(f"_run_{name}").over(everything).alias(f"{name}_total") for name in totals],
     )
     joined = _attach(summed, offsets, [*group, "_piece"])
-    return joined.withColumns(
+    running = joined.withColumns(
         {name: F.col(name) + F.col(f"_before_{name}") for name in totals}
     ).drop("_piece", *[f"_before_{name}" for name in totals])
+    # Stored, so that none of its readers sorts again.
+    return materialise(running, "running")
 
 
 def _attach(rows: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # Null-safe, so that rows of a null group keep their offset.
-    renamed = materialise(
-        offsets.select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys],
-            *[c for c in offsets.columns if c not in keys],
-        ),
-        "offsets",
-    )
+    return join_null_safe(rows, materialise(offsets, "offsets"), keys)
+
+
+def join_null_safe(
+    rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """An equality join in which null keys meet, so that rows of a null group stay."""
+    renamed = other.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     condition = F.lit(True)
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return rows.join(renamed, condition).drop(*[f"_k_{k}" for k in keys])
+    return rows.join(renamed, condition, how).drop(*[f"_k_{k}" for k in keys])
 
 
 def exact_percentiles(

@@ -83,10 +83,10 @@ def append_batch(
         if not stored.isEmpty():
             if not replace:
                 raise ValueError(f"batch {batch_id} is stored already; replace it explicitly")
-            tables.delete_batch(batch_id)
     stamped = batch.select(*TRANSACTION_COLUMNS, F.lit(batch_id).alias("batch_id"))
-    tables.write_append(stamped, "synthetic", "transactions", by="batch_id")
-    tables.write_append(manifest, "synthetic", "generation_runs", by="batch_id")
+    # One batch is one partition: both writes put it in place of an earlier one as a whole.
+    tables.write_replace(stamped, "synthetic", "transactions", "batch_id", batch_id)
+    tables.write_replace(manifest, "synthetic", "generation_runs", "batch_id", batch_id)
 
 
 def manifest_row(

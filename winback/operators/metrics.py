@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winback.contract import LABEL_THRESHOLD, PROBABILITY, TARGET, TOP_FRACTIONS
-from winback.functions.ordered import with_running_totals
+from winback.functions.ordered import join_null_safe, with_running_totals
+from winback.session import materialise
 
 TOP_METRICS = ("precision", "recall", "lift")
 
@@ -22,6 +23,60 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
+def _top_size(fraction: float) -> Column:
+    return F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(fraction)))
+
+
+def _top_hits(
+    rows: DataFrame,
+    points: DataFrame,
+    group: list[str],
+    keys: Sequence[str],
+    fractions: Sequence[float],
+) -> DataFrame:
+    """Positives among the first rows of each group, a column per fraction."""
+    sizes = [
+        F.struct(F.lit(top_name("_top", f)).alias("_top"), _top_size(f).alias("_size"))
+        for f in fractions
+    ]
+    before = F.col("_seen") - F.col("_rows")
+    # The scores at which a top ends: a row per group and fraction.
+    edges = materialise(
+        points.select("*", F.inline(F.array(*sizes)))
+        .filter((before < F.col("_size")) & (F.col("_size") <= F.col("_seen")))
+        .select(
+            *group,
+            "_s",
+            "_top",
+            (F.col("_size") - before).alias("_wanted"),
+            (F.col("_hits") - F.col("_pos")).alias("_above"),
+            F.when(F.col("_size") == F.col("_seen"), F.col("_pos")).alias("_whole"),
+        ),
+        "edges",
+    )
+    cut = edges.filter(F.col("_whole").isNull()).select(*group, "_s", "_top", "_wanted")
+    tied = with_running_totals(
+        join_null_safe(rows, cut, [*group, "_s"]),
+        [*group, "_top"],
+        [F.col(k).asc() for k in keys],
+        {"_place": F.lit(1)},
+    )
+    part = tied.groupBy(*group, "_top").agg(
+        F.sum(F.when(F.col("_place") <= F.col("_wanted"), F.col("_y")).otherwise(0)).alias("_part")
+    )
+    hits = F.col("_above") + F.coalesce("_whole", "_part", F.lit(0))
+    return (
+        join_null_safe(edges, part, [*group, "_top"], "left")
+        .groupBy(*group)
+        .agg(
+            *[
+                F.sum(F.when(F.col("_top") == top_name("_top", f), hits)).alias(top_name("_top", f))
+                for f in fractions
+            ]
+        )
+    )
+
+
 def evaluate(
     df: DataFrame,
     group: Sequence[str] = ("split",),
@@ -33,37 +88,26 @@ def evaluate(
 ) -> DataFrame:
     """All metrics, one row per group.
 
-    One range-sorted pass by score gives every row its position and the positives up to
-    it; ties at the edge of the top are cut by `keys`. Equal scores then become one point
-    of the curves, so average precision and ROC area are exact under ties.
+    Rows are first counted by score: running totals then pass over distinct scores only, and
+    average precision and ROC area are exact under ties. Only where the edge of a top cuts
+    through equal scores are the rows of that score put in the order of `keys`.
     """
     group = list(group)
     rows = df.select(
         *group, *keys, F.col(score).alias("_s"), F.col(target).cast("bigint").alias("_y")
     )
-    ordered = with_running_totals(
-        rows,
-        group,
-        [F.col("_s").desc(), *[F.col(k).asc() for k in keys]],
-        {"_seen": F.lit(1), "_hits": F.col("_y")},
-    )
-    taken = {f: F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(f))) for f in fractions}
-    points = (
-        ordered.withColumnsRenamed({"_seen_total": "_n", "_hits_total": "_p"})
-        .groupBy(*group, "_s", "_n", "_p")
-        .agg(
-            F.sum("_y").alias("_pos"),
-            F.sum(1 - F.col("_y")).alias("_neg"),
-            F.max("_seen").alias("_seen"),
-            F.max("_hits").alias("_hits"),
-            *[
-                F.sum(F.when(F.col("_seen") <= size, F.col("_y")).otherwise(0)).alias(
-                    top_name("_top", f)
-                )
-                for f, size in taken.items()
-            ],
-        )
+    counted = rows.groupBy(*group, "_s").agg(
+        F.count("*").alias("_rows"),
+        F.sum("_y").alias("_pos"),
+        F.sum(1 - F.col("_y")).alias("_neg"),
     )
+    points = with_running_totals(
+        counted,
+        group,
+        [F.col("_s").desc()],
+        {"_seen": F.col("_rows"), "_hits": F.col("_pos")},
+    ).withColumnsRenamed({"_seen_total": "_n", "_hits_total": "_p"})
+    tops = _top_hits(rows, points, group, keys, fractions)
     pos, neg = F.col("_pos").cast("double"), F.col("_neg").cast("double")
     called = F.col("_s") >= threshold
 
@@ -79,13 +123,13 @@ def evaluate(
         total_where(called, "_neg").alias("false_positive"),
         total_where(~called, "_pos").alias("false_negative"),
         total_where(called, "_pos").alias("true_positive"),
-        *[F.sum(top_name("_top", f)).alias(top_name("_top", f)) for f in fractions],
     )
+    curves = join_null_safe(curves, tops, group)
     n, p = F.col("_n"), F.col("_p")
     tp, fp, fn = F.col("true_positive"), F.col("false_positive"), F.col("false_negative")
     top = []
-    for f, size in taken.items():
-        hits = F.col(top_name("_top", f))
+    for f in fractions:
+        size, hits = _top_size(f), F.col(top_name("_top", f))
         precision = _ratio(hits, size)
         top += [
             precision.alias(top_name("precision", f)),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,12 +19,13 @@ from winback.contract import (
 from winback.functions import lines
 from winback.functions.dates import as_date
 from winback.functions.drift import psi, psi_of_counts, psi_status, value_counts, worst_status
-from winback.functions.ordered import exact_percentiles, percentiles_of_running
+from winback.functions.ordered import exact_percentiles
 from winback.operators.metrics import evaluate, top_name
 from winback.operators.quality import any_null, count_kinds, count_where
 from winback.operators.scoring import PRIORITY_GROUPS, REMAINDER
-from winback.sources.tables import Tables
+from winback.session import materialise
 from winback.sources.guards import require_rows
+from winback.sources.tables import Tables
 
 # Days covered by a round with no round before it, and the label of rows.
 FIRST_ROUND_DAYS = 30
@@ -54,7 +55,7 @@ def round_window(scores: DataFrame, day: date | str) -> DataFrame:
 
 
 def round_lines(history: DataFrame, start: date | str, day: date | str) -> DataFrame:
-    return history.filter(lines.between(start, day))
+    return lines.in_months(history, start, day).filter(lines.between(start, day))
 
 
 def scenario_at(runs: DataFrame, day: date | str) -> DataFrame:
@@ -167,38 +168,39 @@ def feature_drift(
     """One row per feature: statistics of both populations and the PSI."""
     counts = value_counts(reference, current, FEATURES)
     ref, cur = ("reference_rows", "reference_upto"), ("current_rows", "current_upto")
-    percentiles = percentiles_of_running(
+    value = F.col("value")
+
+    def mean(rows: str) -> Column:
+        weight = F.col(rows)
+        return F.try_divide(F.sum(value * weight), F.sum(weight).cast("double"))
+
+    # All from counted values in one aggregation.
+    picks = {
+        "reference_median": (0.5, *ref),
+        "current_median": (0.5, *cur),
+        "current_min": (0.0, *cur),
+        "current_p10": (0.10, *cur),
+        "current_p25": (0.25, *cur),
+        "current_p75": (0.75, *cur),
+        "current_p90": (0.90, *cur),
+        "current_max": (1.0, *cur),
+    }
+    measured = psi_of_counts(
         counts,
-        ["feature_name"],
-        "value",
-        {
-            "reference_median": (0.5, *ref),
-            "current_median": (0.5, *cur),
-            "current_min": (0.0, *cur),
-            "current_p10": (0.10, *cur),
-            "current_p25": (0.25, *cur),
-            "current_p75": (0.75, *cur),
-            "current_p90": (0.90, *cur),
-            "current_max": (1.0, *cur),
-        },
+        picks=picks,
+        also={"reference_mean": mean("reference_rows"), "current_mean": mean("current_rows")},
     )
-
-    def moments(df: DataFrame, *measures: Column) -> DataFrame:
-        doubles = df.select(*[F.col(f).cast("double").alias(f) for f in FEATURES])
-        long = doubles.unpivot([], list(FEATURES), "feature_name", "value")
-        return long.groupBy("feature_name").agg(*measures)
-
-    value = F.col("value")
-    reference_side = moments(reference, F.avg(value).alias("reference_mean"))
-    current_side = moments(
-        current,
-        F.avg(value).alias("current_mean"),
-        F.stddev_samp(value).alias("current_std"),
+    # Squares are taken from the mean, a row per feature, so large values lose nothing.
+    away = F.pow(value - F.col("current_mean"), 2) * F.col("current_rows")
+    spread = (
+        counts.join(materialise(measured, "measured"), "feature_name")
+        .groupBy("feature_name", "psi", "reference_mean", "current_mean", *picks)
+        .agg(
+            F.sqrt(F.try_divide(F.sum(away), F.max("current_upto_total") - 1)).alias("current_std")
+        )
     )
     return (
-        percentiles.join(reference_side, "feature_name")
-        .join(current_side, "feature_name")
-        .join(psi_of_counts(counts), "feature_name")
+        spread
         .select(
             F.lit(day).cast("date").alias("scoring_date"),
             F.lit(reference_day).cast("date").alias("reference_date"),
@@ -252,8 +254,10 @@ def matured_labels(
     scores: DataFrame, history: DataFrame, day: date | str, days: int = PREDICTION_DAYS
 ) -> DataFrame:
     """Scored customers of a date with what they did in the window after it."""
+    end = as_date(day) + timedelta(days=days)
     returned = (
-        history.filter(lines.after_within(day, days))
+        lines.in_months(history, day, end)
+        .filter(lines.after_within(day, days))
         .filter(lines.valid_line("strict"))
         .select("customer_id")
         .distinct()

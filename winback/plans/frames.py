@@ -38,8 +38,13 @@ def dates() -> list[date]:
     return monthly_dates(REFERENCE_START, REFERENCE_END)
 
 
+# Session setting: pieces that the lines are dealt to where their files are too few.
+PIECES = "spark.winback.pieces"
+
+
 def bronze(spark: SparkSession, folder: str) -> DataFrame:
-    return read_bronze(spark, folder)
+    pieces = spark.conf.get(PIECES, None)
+    return read_bronze(spark, folder, int(pieces) if pieces else None)
 
 
 def silver(spark: SparkSession, folder: str) -> DataFrame:

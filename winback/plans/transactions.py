@@ -55,22 +55,17 @@ def table_full_write(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "table_append",
     with_steps(
-        """SELECT CAST(date_trunc('month', purchase_date) AS DATE) AS "month",
-             count(*) AS row_count, CAST(sum(quantity) AS BIGINT) AS items
-           FROM strict GROUP BY 1"""
+        f"SELECT {_LINE} FROM silver"
     ),
 )
 def table_append(spark: SparkSession, folder: str) -> DataFrame:
+    """All of silver in two parts, the second added to the first."""
     tables = Tables.scratch(spark)
-    strict = frames.lines(spark, folder, "strict").select(*TRANSACTION_COLUMNS)
+    silver = frames.silver(spark, folder)
     cut = F.lit(frames.REAL_UNTIL).cast("date")
-    for part in (strict.filter(line.purchase_day() <= cut), strict.filter(line.purchase_day() > cut)):
+    for part in (silver.filter(line.purchase_day() <= cut), silver.filter(line.purchase_day() > cut)):
         tables.write_append(part, "silver", "transactions")
-    return (
-        tables.read("silver", "transactions")
-        .groupBy(F.trunc("invoice_date", "MM").alias("month"))
-        .agg(F.count("*").alias("row_count"), F.sum("quantity").alias("items"))
-    )
+    return tables.read("silver", "transactions")
 
 
 @query(
@@ -149,7 +144,7 @@ def table_delete_batch(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def table_layers(spark: SparkSession, folder: str) -> DataFrame:
-    """Databases made on demand, creating one twice being harmless."""
+    """Layers made on demand, creating one twice being harmless."""
     tables = Tables.scratch(spark)
     tables.create_layer("silver")
     tables.write_full(frames.silver(spark, folder), "silver", "transactions")
@@ -168,8 +163,9 @@ def table_full_history(spark: SparkSession, folder: str) -> DataFrame:
     tables = Tables.scratch(spark)
     real = frames.silver(spark, folder).filter(line.until(frames.REAL_UNTIL))
     batch = _batch_lines(spark, folder)
-    batches.append_batch(tables, batch, _manifest(batch), "batch")
-    return tables.create_full_history(real)
+    manifest = _manifest(batch).withColumn("batch_id", F.lit("batch"))
+    batches.append_batch(tables, batch, manifest, "batch")
+    return tables.create_full_history(real).select(*TRANSACTION_COLUMNS)
 
 
 @query(

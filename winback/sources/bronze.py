@@ -21,20 +21,11 @@ STAR_SCHEMAS = {
 }
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when the input is fewer pieces than there are cores.
-
-    A single file with one row group is one task however large the cluster. Inputs with
-    enough pieces are left as they are, so no exchange is added where it would cost.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def star_lines(spark: SparkSession, folder: str) -> DataFrame:
+def star_lines(spark: SparkSession, folder: str, pieces: int | None = None) -> DataFrame:
     """Order lines of the star-schema tables in bronze columns.
 
-    Join sides are left to the optimiser: it broadcasts only below the session's size
+    `pieces` deals the lines out anew, for a table that is one file with one row group;
+    otherwise the files' own split holds. Join sides are left to the optimiser: it broadcasts only below the session's size
     limit, and adaptive execution splits a hot order or part.
     """
 
@@ -42,11 +33,14 @@ def star_lines(spark: SparkSession, folder: str) -> DataFrame:
         reader = spark.read.schema(STAR_SCHEMAS[name])
         return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
+    lineitem = table("lineitem")
+    if pieces:
+        lineitem = lineitem.repartition(pieces)
     places = table("supplier").join(
         table("nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
     joined = (
-        spread(table("lineitem"))
+        lineitem
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -88,13 +82,13 @@ def _parts(day: Column) -> Column:
     )
 
 
-def read_bronze(spark: SparkSession, folder: str) -> DataFrame:
+def read_bronze(spark: SparkSession, folder: str, pieces: int | None = None) -> DataFrame:
     """Both parts, duplicates kept.
 
     One pass over the lines emits each row once per part that holds it, so the joins
     run once instead of once per part.
     """
-    lines = star_lines(spark, folder)
+    lines = star_lines(spark, folder, pieces)
     return lines.withColumn("part", F.explode(_parts(F.to_date("InvoiceDate")))).drop("part")
 
 

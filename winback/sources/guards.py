@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,8 +22,9 @@ def require_rows(df: DataFrame, what: str = "frame") -> DataFrame:
     return df
 
 
-def require_tables(spark: SparkSession, names: Iterable[str]) -> None:
-    missing = [name for name in names if not spark.catalog.tableExists(name)]
+def require_tables(tables, *names: tuple[str, str]) -> None:
+    """Each (layer, key) must be stored."""
+    missing = [tables.name(*name) for name in names if not tables.exists(*name)]
     if missing:
         raise ValueError(f"missing tables: {missing}")
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import re
 from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from winback.contract import TABLES, TRANSACTION_COLUMNS
+from winback.contract import MONTH, TABLES, TRANSACTION_COLUMNS
+from winback.functions.lines import month
 from winback.session import new_folder
 from winback.sources.bronze import union_parts
 
@@ -21,61 +25,90 @@ def _rebalanced(df: DataFrame, by: str) -> DataFrame:
 
 
 class Tables:
-    """Tables addressed by layer and key, one database per layer.
+    """Tables addressed by layer and key, as Parquet folders below one root.
 
-    `root` is the folder the databases live in, `prefix` keeps several stores apart in
-    one catalog. Tables are Parquet; replacing works on whole partitions.
+    A table exists once its definition is there: a small file beside the layers that is
+    written after the first rows and holds the schema. Any session that knows the root sees
+    the same tables; no catalog has to survive. Replacing works on whole partitions.
     """
 
-    def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
-        self.spark, self.root, self.prefix = spark, root.rstrip("/"), prefix
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
 
     @classmethod
     def scratch(cls, spark: SparkSession) -> Tables:
         """A store of its own under the shared folder."""
-        root = new_folder(spark, "tables")
-        return cls(spark, root, prefix=f"w{root[-12:]}_")
+        return cls(spark, new_folder(spark, "tables"))
 
     def name(self, layer: str, key: str) -> str:
         if key not in TABLES.get(layer, ()):
             known = {known_layer: list(keys) for known_layer, keys in TABLES.items()}
             raise KeyError(f"no table {layer}.{key}; known: {known}")
-        return f"{self.prefix}{layer}.{key}"
+        return f"{layer}.{key}"
+
+    def path(self, layer: str, key: str) -> str:
+        self.name(layer, key)
+        return f"{self.root}/{layer}/{key}"
+
+    def _definition(self, layer: str, key: str) -> str:
+        return self.path(layer, key).replace(self.root, f"{self.root}/_definitions", 1)
+
+    def _at(self, path: str):
+        """A path and its file system, through Hadoop, so any store Spark reaches will do."""
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return found, found.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def create_layer(self, layer: str) -> str:
-        database = f"{self.prefix}{layer}"
-        self.spark.sql(
-            f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/{layer}'"
-        )
-        return database
+        if layer not in TABLES:
+            raise KeyError(f"no layer {layer}; known: {list(TABLES)}")
+        folder, files = self._at(f"{self.root}/{layer}")
+        files.mkdirs(folder)
+        return folder.toString()
 
     def exists(self, layer: str, key: str) -> bool:
-        return self.spark.catalog.tableExists(self.name(layer, key))
+        path, files = self._at(f"{self._definition(layer, key)}/_SUCCESS")
+        return files.exists(path)
 
-    def read(self, layer: str, key: str) -> DataFrame:
-        return self.spark.table(self.name(layer, key))
+    def schema(self, layer: str, key: str) -> T.StructType:
+        if not self.exists(layer, key):
+            raise ValueError(f"missing tables: ['{self.name(layer, key)}']")
+        stored = self.spark.read.text(self._definition(layer, key)).first()
+        return T.StructType.fromJson(json.loads(stored["value"]))
 
-    @staticmethod
-    def _writer(df: DataFrame, by: str | None) -> DataFrameWriter:
-        if not by:
-            return df.write.format("parquet")
-        # The mode is kept with the table: overwriting touches only partitions that get rows.
-        writer = _rebalanced(df, by).write.format("parquet")
-        return writer.partitionBy(by).option("partitionOverwriteMode", "dynamic")
+    def read(self, layer: str, key: str) -> DataFrame:
+        return self.spark.read.schema(self.schema(layer, key)).parquet(self.path(layer, key))
+
+    def _define(self, df: DataFrame, layer: str, key: str, by: str | None) -> None:
+        # A reader finds partition columns last.
+        fields = sorted(df.schema.fields, key=lambda f: f.name == by)
+        text = T.StructType([T.StructField(f.name, f.dataType) for f in fields]).json()
+        folder, files = self._at(self.path(layer, key))
+        files.mkdirs(folder)
+        row = self.spark.createDataFrame([(text,)], "value string").coalesce(1)
+        row.write.mode("overwrite").text(self._definition(layer, key))
+
+    def _write(
+        self, df: DataFrame, layer: str, key: str, by: str | None, mode: str, overwrite: str
+    ) -> None:
+        writer: DataFrameWriter = _rebalanced(df, by).write.partitionBy(by) if by else df.write
+        writer.mode(mode).option("partitionOverwriteMode", overwrite).parquet(self.path(layer, key))
 
     def write_full(
         self, df: DataFrame, layer: str, key: str, by: str | None = None
     ) -> None:
         """Replace the whole table."""
-        self.create_layer(layer)
-        self._writer(df, by).mode("overwrite").saveAsTable(self.name(layer, key))
+        self._write(df, layer, key, by, "overwrite", "static")
+        self._define(df, layer, key, by)
 
     def write_append(
         self, df: DataFrame, layer: str, key: str, by: str | None = None
     ) -> None:
         """Add rows, creating the table at first."""
-        self.create_layer(layer)
-        self._writer(df, by).mode("append").saveAsTable(self.name(layer, key))
+        if self.exists(layer, key):
+            self._write(df.select(*self.schema(layer, key).names), layer, key, by, "append", "static")
+        else:
+            # What an interrupted first write left is no table yet.
+            self.write_full(df, layer, key, by)
 
     def write_replace(
         self, df: DataFrame, layer: str, key: str, by: str, value: object | None = None
@@ -83,7 +116,8 @@ class Tables:
         """Replace the partitions of `by` that `df` holds; all others stay.
 
         With `value`, `df` may hold that one value only. Running it twice leaves the
-        same table as running it once.
+        same table as running it once. The new rows are committed in one step, so a
+        failure leaves the old ones.
         """
         if value is not None:
             # Checked row by row while writing, so the frame is computed once; a foreign
@@ -94,15 +128,15 @@ class Tables:
         if not self.exists(layer, key):
             self.write_full(df, layer, key, by=by)
             return
-        target = self.read(layer, key)
-        _rebalanced(df, by).select(*target.columns).write.insertInto(self.name(layer, key), overwrite=True)
+        self._write(df.select(*self.schema(layer, key).names), layer, key, by, "overwrite", "dynamic")
 
     def drop_partition(self, layer: str, key: str, by: str, value: object) -> None:
         """Delete one partition; a date or a batch id."""
-        literal = f"DATE '{value}'" if isinstance(value, date) else f"'{value}'"
-        self.spark.sql(
-            f"ALTER TABLE {self.name(layer, key)} DROP IF EXISTS PARTITION ({by} = {literal})"
-        )
+        text = str(value)
+        if not isinstance(value, date) and not re.fullmatch(r"[\w.-]+", text):
+            raise ValueError(f"not a partition value: {text!r}")
+        folder, files = self._at(f"{self.path(layer, key)}/{by}={text}")
+        files.delete(folder, True)
 
     def delete_batch(self, batch_id: str) -> None:
         """Remove one recurring batch and its manifest row."""
@@ -111,10 +145,20 @@ class Tables:
                 self.drop_partition("synthetic", key, "batch_id", batch_id)
 
     def create_full_history(self, silver: DataFrame | None = None) -> DataFrame:
-        """View of all transactions: first-party and recurring batches."""
+        """View of all transactions, first-party and recurring batches, with their month.
+
+        Where silver is stored by month, a condition on the month reads those folders only.
+        """
         parts = [silver if silver is not None else self.read("silver", "transactions")]
         if self.exists("synthetic", "transactions"):
             parts.append(self.read("synthetic", "transactions"))
-        history = union_parts(*[part.select(*TRANSACTION_COLUMNS) for part in parts])
-        history.createOrReplaceTempView(f"{self.prefix}full_history")
+        history = union_parts(
+            *[
+                part.select(
+                    *TRANSACTION_COLUMNS, MONTH if MONTH in part.columns else month().alias(MONTH)
+                )
+                for part in parts
+            ]
+        )
+        history.createOrReplaceTempView("full_history")
         return history
