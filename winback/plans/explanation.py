@@ -109,10 +109,18 @@ def explain_population(spark: SparkSession, folder: str) -> DataFrame:
     return found
 
 
-@query("explain_sample")
+@query(
+    "explain_sample",
+    with_steps(
+        """SELECT customer_id, scoring_date, priority_group, score_rank FROM lin
+           ORDER BY md5(concat_ws('|', 42, customer_id, scoring_date)), customer_id LIMIT 2000""",
+        _STEPS,
+    ),
+)
 def explain_sample(spark: SparkSession, folder: str) -> DataFrame:
-    """The seeded sample itself; tests check its size, its members and its repetition."""
-    return explain.sample_population(_scored(spark, folder))
+    """The seeded sample of at most 2,000 customers."""
+    sample = explain.sample_population(_scored(spark, folder))
+    return sample.select("customer_id", "scoring_date", "priority_group", "score_rank")
 
 
 _CONTRIBUTIONS = "round(shap_value, 9) + 0.0 AS shap_value"

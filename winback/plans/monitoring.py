@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winback.contract import FEATURES, PROBABILITY
+from winback.functions import lines
 from winback.functions.dates import as_date
 from winback.functions.drift import psi, psi_status, worst_status
 from winback.operators import batches, monitoring
@@ -13,6 +14,7 @@ from winback.plans import frames
 from winback.plans.catalog import query
 from winback.plans.sql import ROUNDED_METRICS, metric_steps, rounded, with_steps
 from winback.session import materialise
+from winback.sources.bronze import union_parts
 from winback.sources.tables import Tables
 
 _DAY, _OPEN = frames.MATURED_ROUND, frames.OPEN_ROUND
@@ -60,12 +62,51 @@ def monitor_round_window(spark: SparkSession, folder: str) -> DataFrame:
     return monitoring.round_window(frames.scored_rounds(spark, folder), _DAY)
 
 
+def _batches(silver: DataFrame) -> DataFrame:
+    """Manifest rows of batches as the data has them: a batch per month and one per quarter.
+
+    Dates, time of writing and scenario come from the lines: a batch above the mean size of
+    its kind is a spike.
+    """
+
+    def per(unit: str) -> DataFrame:
+        sizes = silver.groupBy(F.date_trunc(unit, "invoice_date").alias("_unit")).agg(
+            F.min(lines.purchase_day()).alias("batch_start_date"),
+            F.max(lines.purchase_day()).alias("batch_end_date"),
+            F.max("invoice_date").alias("generated_at"),
+            F.count("*").alias("_rows"),
+        )
+        mean = sizes.agg(F.avg("_rows")).scalar()
+        spike = F.when(F.col("_rows") > mean, f"{unit}_spike").otherwise(f"{unit}_normal")
+        return sizes.withColumn("scenario", spike).drop("_unit", "_rows")
+
+    return per("month").unionByName(per("quarter"))
+
+
+_BATCHES = ", ".join(
+    f"""{unit}_sizes AS (SELECT min(CAST(invoice_date AS DATE)) AS batch_start_date,
+      max(CAST(invoice_date AS DATE)) AS batch_end_date, max(invoice_date) AS generated_at,
+      count(*) AS n FROM silver GROUP BY date_trunc('{unit}', invoice_date)),
+    {unit}_runs AS (SELECT *, CASE WHEN n > (SELECT avg(n) FROM {unit}_sizes) THEN '{unit}_spike'
+      ELSE '{unit}_normal' END AS scenario FROM {unit}_sizes)"""
+    for unit in ("month", "quarter")
+)
+
+
 @query(
     "monitor_scenario",
-    """SELECT DATE '2001-06-08' AS scoring_date, 'volume_spike' AS scenario""",
+    with_steps(
+        """SELECT d AS scoring_date, coalesce((SELECT scenario FROM
+             (SELECT * FROM month_runs UNION ALL SELECT * FROM quarter_runs)
+             WHERE d BETWEEN batch_start_date AND batch_end_date
+             ORDER BY generated_at DESC, scenario DESC LIMIT 1), 'unknown') AS scenario
+           FROM (SELECT DISTINCT scoring_date AS d FROM scores)""",
+        _BATCHES,
+    ),
 )
 def monitor_scenario(spark: SparkSession, folder: str) -> DataFrame:
-    return monitoring.scenario_at(_runs(frames.silver(spark, folder)), _DAY)
+    runs = materialise(_batches(frames.silver(spark, folder)), "runs")
+    return union_parts(*[monitoring.scenario_at(runs, day) for day in frames.ROUNDS])
 
 
 _LOT = """lot AS (SELECT *, count(*) OVER (PARTITION BY invoice, stock_code, description, quantity,
