@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from winback.operators import batches
+from winback.operators import batches, quality, rounds
 from winback.sources.guards import conform, require_columns, require_rows, require_tables
 from winback.sources.tables import Tables
 
@@ -169,3 +169,18 @@ def test_guards(spark, make_lines):
         require_tables(Tables.scratch(spark), ("gold", "modeling"))
     text = lines.select(*[F.col(c).cast("string").alias(c) for c in reversed(lines.columns)])
     assert conform(text, lines.schema).schema == lines.schema
+
+
+def test_a_batch_that_fails_a_check_is_not_stored(make_lines, tables):
+    good, first, last = batch_of(make_lines, 3), dt.date(2011, 3, 1), dt.date(2011, 3, 30)
+    with pytest.raises(quality.DataQualityError, match="outside"):
+        rounds.accept_batch(tables, good, "b", "normal", first + dt.timedelta(days=1), last)
+    with pytest.raises(ValueError, match="missing columns"):
+        rounds.accept_batch(tables, good.drop("price"), "b", "normal", first, last)
+    with pytest.raises(quality.DataQualityError, match="non_positive"):
+        rounds.accept_batch(tables, good.withColumn("price", F.lit(0)), "b", "normal", first, last)
+    assert not tables.exists("synthetic", "transactions")
+    text = good.select(*[F.col(c).cast("string").alias(c) for c in good.columns])
+    assert rounds.accept_batch(tables, text, "b", "normal", first, last).count() == 3
+    run = tables.read("synthetic", "generation_runs").first()
+    assert (run.scenario, run.generated_rows, run.batch_start_date) == ("normal", 3, first)

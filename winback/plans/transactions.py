@@ -13,7 +13,7 @@ from winback.contract import (
 )
 from winback.functions import lines as line
 from winback.functions.dates import as_date
-from winback.operators import batches, cleaning, quality
+from winback.operators import batches, cleaning, quality, rounds
 from winback.operators.features import modeling_base
 from winback.plans import frames
 from winback.plans.catalog import query
@@ -157,6 +157,25 @@ def table_layers(spark: SparkSession, folder: str) -> DataFrame:
     return union_parts(size("silver", "transactions"), size("gold", "modeling"))
 
 
+@query(
+    "batch_gate",
+    with_steps(
+        f"""SELECT {_LINE}, '20010509_20010607_normal' AS batch_id FROM silver
+            WHERE CAST(invoice_date AS DATE) BETWEEN DATE '2001-05-09' AND DATE '2001-06-07'"""
+    ),
+)
+def batch_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch that arrives as text is typed, checked and stored; the given lines have
+    defects, so only its window is enforced."""
+    batch = _batch_lines(spark, folder)
+    text = batch.select(*[F.col(c).cast("string").alias(c) for c in batch.columns])
+    first, last = frames.BATCH
+    batch_id = f"{first:%Y%m%d}_{last:%Y%m%d}_normal"
+    return rounds.accept_batch(
+        Tables.scratch(spark), text, batch_id, "normal", first, last, expect_clean=False
+    )
+
+
 @query("table_full_history", with_steps(f"SELECT {_LINE} FROM silver "
     "WHERE CAST(invoice_date AS DATE) <= DATE '2001-06-07'"))
 def table_full_history(spark: SparkSession, folder: str) -> DataFrame:
