@@ -87,7 +87,7 @@ def test_offsets_count_characters(marked):
     word = chains.found.terms.to_pylist().index(b"bad")
     field.weights[:] = -1
     field.weights[chains.own[word, 0]] = 60
-    model = toxicity.Model(field, np.array([1.0, 0.0, 0.0]), None, bits)
+    model = toxicity.Model(field, np.array([1.0, 0.0, 0.0, 0.0]), None, bits)
     _, first, stop, counts = toxicity._tagged(flatten(pa.array(["é日 bad 𝔘!", "", None])), model)
     assert (first.tolist(), stop.tolist(), counts.tolist()) == ([3], [6], [1, 0, 0])
 
@@ -116,7 +116,7 @@ def test_field_gradient_points_uphill():
     """The fitted field explains its tags better than it did before fitting."""
     chains = toxicity._cut(flatten(pa.array(["a b c bad d. bad e", "c d e. a b"])), 10)
     tags = np.array([chains.found.terms[c].as_py() == b"bad" for c in chains.found.codes.tolist()], float)
-    field = toxicity._fit_field(chains, tags, 10)
+    field = toxicity._fit_field(chains, tags, np.ones(len(tags), bool), 10)
     assert ((toxicity.marginals(chains, field) > 0.5) == tags.astype(bool)).all()
 
 

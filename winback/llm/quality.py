@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from winback.llm.learning import (
     class_weights,
     classes_of,
+    curve_rows,
     dual_coordinate_descent,
     labelled_texts,
     logistic,
@@ -45,7 +46,7 @@ from winback.llm.texts import (
 )
 
 FEATURE_BITS = 18
-PER_CLASS = 3_000
+PER_CLASS = 2_000
 # Texts whose n-grams are sorted together: their number and the feature fill 31 bits.
 TOGETHER = 1 << 13
 
@@ -57,6 +58,10 @@ _CLASS[0x80:] = ord("a")
 _CLASS[0x30:0x3A] = ord("0")
 
 
+# Odd factors that keep kinds of n-grams and their places apart.
+_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+
+
 class Model(NamedTuple):
     weights: np.ndarray  # weight times log ratio per feature, float32
     bias: float
@@ -86,7 +91,7 @@ def _features(found: Words, lowered: np.ndarray, forms: np.ndarray, bits: int):
     form[same] ^= np.uint64(0x5851F42D4C957F2D)
     shift = np.uint64(64 - bits)
     with np.errstate(over="ignore"):
-        one, two, three = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
+        one, two, three = map(np.uint64, _FACTORS)
         pairs = texts[1:] == texts[:-1]
         triples = pairs[1:] & pairs[:-1]
         for owner, value in (
@@ -153,18 +158,14 @@ def fit(
     for batch in sample.select(["text"]).to_batches():
         for some in parts(batch, "text"):
             features, counts = n_grams(flatten(some.column("text")), bits)
-            rows += np.split(features.astype(np.int64), np.cumsum(counts)[:-1])
-    # Three quarters fit the weights, every fourth of each class fits the curve.
-    place = np.zeros(len(classes), np.int64)
-    for value in (0, 1):
-        place[classes == value] = np.arange((classes == value).sum())
-    curve_part = (place % 4 == 3) if min((classes == 0).sum(), (classes == 1).sum()) >= 8 else place >= 0
+            rows += np.split(features.astype(np.int32), np.cumsum(counts)[:-1])
+    curve_part = curve_rows(classes)
     fit_part = ~curve_part if not curve_part.all() else curve_part
     counts = np.ones((2, size))
     for i in np.flatnonzero(fit_part):
         counts[classes[i], rows[i]] += 1
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    examples = [(r, ratio[r] / np.sqrt(max(1, len(r)))) for r in rows]
+    examples = [(r, (ratio[r] / np.sqrt(max(1, len(r)))).astype(np.float32)) for r in rows]
     chosen = np.flatnonzero(fit_part)
     signs = np.where(classes[chosen] == 1, 1.0, -1.0)
     share = np.array([(classes[chosen] == v).mean() for v in (0, 1)])

@@ -9,8 +9,9 @@ Labelled tokens come from labelled documents: a word is tagged toxic in a toxic
 it, or one of its prefixes, is so much more common in toxic documents that chance does not
 explain it (binomial bound), and most documents that have it are toxic. Weights are fitted by
 gradient steps on the likelihood of these chains. Forward-backward gives each word its
-marginal; the largest and the sum of the marginals make the document's score through a
-logistic curve, and runs of words above one half are the offending spans.
+marginal; the largest marginal and the sum of all, also per hundred words, make the document's
+score through a logistic curve (fitted on every fourth text, which the rest did not see), and
+runs of words above one half are the offending spans.
 
 Null and empty texts, and texts without words, have no spans and the curve's lowest score.
 Without labels of both classes every score is the evenly smoothed share of label 1 and no
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from winback.llm.learning import (
     class_weights,
     classes_of,
+    curve_rows,
     labelled_texts,
     logistic,
     sigmoid,
@@ -48,7 +50,7 @@ from winback.llm.texts import (
 )
 
 FEATURE_BITS = 20
-PER_CLASS = 1_500
+PER_CLASS = 800
 CHAIN = 64
 # Marginals from here on count towards a document's sum.
 LIKELY = 0.05
@@ -57,7 +59,7 @@ PREFIXES = (3, 4, 5, 6, 7, 8)
 SUFFIX = 3
 # Evidence, in nats, that a feature's documents are not toxic by chance, and the share of
 # documents with the feature that must be toxic.
-EVIDENCE = 14.0
+EVIDENCE = 10.0
 PRECISION = 0.75
 
 _ENDS = byte_set((0x0A, 0x0A), (0x0D, 0x0D), (0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
@@ -94,7 +96,9 @@ def _cut(flat: Flat, bits: int) -> Chains:
         index = np.arange(n)
         since = index - np.maximum.accumulate(np.where(first, index, 0))
         first |= since % CHAIN == 0
-    return Chains(found, np.stack(own, 1), np.stack(beside, 1), first)
+    return Chains(
+        found, np.stack(own, 1).astype(np.int32), np.stack(beside, 1).astype(np.int32), first
+    )
 
 
 def _slices(terms: Flat, lengths: np.ndarray, size: int, last: bool) -> pa.Array:
@@ -165,39 +169,45 @@ def marginals(chains: Chains, field: Field) -> np.ndarray:
     return sigmoid(ahead + behind)
 
 
-def _fit_field(chains: Chains, tags: np.ndarray, bits: int, rounds: int = 60) -> Field:
-    """Gradient steps (with a running scale per weight) on the mean log likelihood."""
+def _fit_field(
+    chains: Chains, tags: np.ndarray, learned: np.ndarray, bits: int, rounds: int = 60
+) -> Field:
+    """Gradient steps (with a running scale per weight) on the mean log likelihood of the
+    chains of learned words."""
     size = (1 << bits) + 1
     codes, first = chains.found.codes, chains.first
-    inner = np.flatnonzero(~first[1:])
+    inner = np.flatnonzero(~first[1:] & learned[1:])
     weights, moves, start = np.zeros(size), np.zeros((2, 2)), -2.0
     flat = np.zeros(size + 5)
     flat[-5:] = (0.0, -2.0, 0.0, 0.0, start)
     mean, square = np.zeros_like(flat), np.zeros_like(flat)
     n_terms = len(chains.own)
-    total = max(1.0, tags.sum())
+    total = max(1.0, tags[learned].sum())
+    seen = np.bincount((2 * tags[inner] + tags[inner + 1]).astype(int), minlength=4)
     for step in range(1, rounds + 1):
         weights, moves, start = flat[:size], flat[size:-1].reshape(2, 2), flat[-1]
         field = Field(weights, moves, start)
         potentials = _potentials(chains, weights)
         ahead, behind = _forward_backward(potentials, first, field)
-        error = sigmoid(ahead + behind) - tags
+        error = np.where(learned, sigmoid(ahead + behind) - tags, 0)
         slope = np.zeros_like(flat)
         per_term = np.bincount(codes, error, n_terms)
         for k in range(chains.own.shape[1]):
             slope[:size] += np.bincount(chains.own[:, k], per_term, size)
         for k, (owner, other) in enumerate(((1, 0), (0, 1))):
+            # The word beside, seen from the word whose tag it speaks for.
             per_term = np.bincount(codes[inner + other], error[inner + owner], n_terms)
             slope[:size] += np.bincount(chains.beside[:, k], per_term, size)
         # Expected moves between neighbours: forward, move, potential and backward.
         after = potentials[inner + 1] + behind[inner + 1]
-        joint = [moves[0, 0] + 0 * after, moves[0, 1] + after, moves[1, 0] + ahead[inner], moves[1, 1] + ahead[inner] + after]
-        top = np.maximum.reduce(joint)
-        shares = [np.exp(j - top) for j in joint]
-        norm = sum(shares)
-        seen = 2 * tags[inner].astype(int) + tags[inner + 1].astype(int)
-        for k in range(4):
-            slope[size + k] = (shares[k] / norm).sum() - (seen == k).sum()
+        before = ahead[inner]
+        joint = np.stack(
+            (0 * after + moves[0, 0], after + moves[0, 1], before + moves[1, 0], before + after + moves[1, 1])
+        ).astype(np.float32)
+        joint -= joint.max(0)
+        np.exp(joint, out=joint)
+        joint /= joint.sum(0)
+        slope[size:-1] = joint.sum(1, dtype=np.float64) - seen
         slope[-1] = error[first].sum()
         slope = slope / total + 1e-4 * flat
         slope[size - 1] = 0
@@ -215,22 +225,27 @@ class Model(NamedTuple):
 
 
 def _tags(
-    chains: list[Chains], classes: np.ndarray, weights: np.ndarray, texts: list[int], bits: int
+    chains: list[Chains],
+    classes: np.ndarray,
+    weights: np.ndarray,
+    learned: np.ndarray,
+    texts: list[int],
+    bits: int,
 ) -> list[np.ndarray]:
-    """Tags of all words, from how common words and prefixes are in toxic documents."""
+    """Tags of all words, from how common words and prefixes are in the learned toxic texts."""
     size = (1 << bits) + 1
     seen = np.zeros((2, size))
     kinds = chains[0].own.shape[1] - 1 if chains else 0
     at = 0
     for some, n in zip(chains, texts):
-        for i in range(n):
+        for i in np.flatnonzero(learned[at : at + n]).tolist():
             a, b = some.found.bounds[i : i + 2]
             held = np.unique(some.own[np.unique(some.found.codes[a:b]), :kinds])
             seen[classes[at + i], held] += 1
         at += n
     # By chance a feature's document is toxic with the toxic share, smoothed; the tail of
     # the binomial distribution is bounded by the divergence of the two shares.
-    share = (classes.sum() + 1) / (len(classes) + 2)
+    share = (classes[learned].sum() + 1) / (learned.sum() + 2)
     count = seen.sum(0)
     rate = np.clip(seen[1] / np.maximum(count, 1), share, 1 - 1e-9)
     evidence = count * (
@@ -253,7 +268,9 @@ def _joined(chains: list[Chains]) -> Chains:
     """Several batches as one, with distinct words per batch."""
     shift = np.cumsum([0] + [len(c.own) for c in chains])
     codes = np.concatenate([c.found.codes + s for c, s in zip(chains, shift)])
-    found = chains[0].found._replace(codes=codes)
+    before = np.cumsum([0] + [len(c.found.codes) for c in chains])
+    bounds = [c.found.bounds[:-1] + b for c, b in zip(chains, before)] + [before[-1:]]
+    found = Words(codes, pa.array([], pa.binary()), np.concatenate(bounds), before[:0], before[:0])
     return Chains(
         found,
         np.concatenate([c.own for c in chains]),
@@ -263,14 +280,17 @@ def _joined(chains: list[Chains]) -> Chains:
 
 
 def _evidence(marginal: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Per text: the largest marginal, and the logarithm of one plus the sum of likely ones."""
+    """Per text: the largest marginal, and the logarithms of one plus the sum of the likely
+    ones, in all and per hundred words."""
     n = len(bounds) - 1
-    out = np.zeros((n, 2))
+    out = np.zeros((n, 3))
     some = np.flatnonzero(np.diff(bounds))
     if len(some):
         begins = bounds[:-1][some]
         out[some, 0] = np.maximum.reduceat(marginal, begins)
-        out[some, 1] = np.log1p(np.add.reduceat(np.where(marginal >= LIKELY, marginal, 0), begins))
+        sums = np.add.reduceat(np.where(marginal >= LIKELY, marginal, 0), begins)
+        out[some, 1] = np.log1p(sums)
+        out[some, 2] = np.log1p(100 * sums / np.diff(bounds)[some])
     return out
 
 
@@ -301,10 +321,15 @@ def fit(
             chains.append(_cut(flatten(some.column("text")), bits))
             texts.append(some.num_rows)
     weights = class_weights(classes, present)
-    tags = _tags(chains, classes, weights, texts, bits)
-    field = _fit_field(_joined(chains), np.concatenate(tags), bits)
-    evidence = np.concatenate([_evidence(marginals(c, field), c.found.bounds) for c in chains])
-    curve = logistic(evidence, classes, weights)
+    curve_part = curve_rows(classes)
+    seen = ~curve_part if not curve_part.all() else curve_part
+    tags = _tags(chains, classes, weights, seen, texts, bits)
+    every, tags = _joined(chains), np.concatenate(tags)
+    del chains
+    sizes_in_words = np.diff(every.found.bounds)
+    field = _fit_field(every, tags, np.repeat(seen, sizes_in_words), bits)
+    evidence = _evidence(marginals(every, field), every.found.bounds)
+    curve = logistic(evidence[curve_part], classes[curve_part], weights[curve_part])
     return Model(field, curve, None, bits)
 
 
