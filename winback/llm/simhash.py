@@ -32,8 +32,10 @@ from winback.llm.texts import NOT_SPACE, Flat, flatten, lower_ascii, parts, span
 from winback.session import materialise
 
 BITS = 64
-# Upper bits that name a subtree.
+# Upper bits that name a subtree, at least; and the fingerprints of a subtree on average, at
+# most: more fingerprints make more subtrees, not larger ones.
 PREFIX_BITS = 8
+SUBTREE = 1 << 16
 # Node pairs walked at once, and leaf pairs under which two nodes are compared outright.
 BLOCK = 200_000
 LEAF_PAIRS = 16
@@ -227,15 +229,20 @@ def near_duplicates(
     documents: DataFrame,
     shingle: int = 3,
     distance: int = 3,
-    prefix_bits: int = PREFIX_BITS,
+    prefix_bits: int | None = None,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """doc_id, fingerprint, and component_id: the smallest id reachable over links."""
+    """doc_id, fingerprint, and component_id: the smallest id reachable over links.
+
+    `prefix_bits` cuts the trie into subtrees, by default of bounded mean size.
+    """
     found = materialise(fingerprints(documents, shingle, id_column, text_column), "fingerprints")
     distinct = materialise(
         found.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct"
     )
+    if prefix_bits is None:
+        prefix_bits = max(PREFIX_BITS, (distinct.count() // SUBTREE).bit_length())
     of = components(links(distinct, distance, prefix_bits))
     named = of.join(distinct, of.node == distinct.fingerprint).select("node", "root", "first")
     least = named.groupBy("root").agg(F.min("first").alias("least"))

@@ -85,22 +85,17 @@ def histogram(lengths: DataFrame, length_column: str = "n_tokens") -> DataFrame:
 
 
 def at_limits(counted: DataFrame, limits: Sequence[int]) -> DataFrame:
-    """What each context limit keeps, from `histogram`: the limits are the only rows that
-    meet, so the distinct lengths are reduced once per limit in one aggregation."""
-    spark = counted.sparkSession
-    wanted = spark.createDataFrame([(int(x),) for x in sorted(set(limits))], "context long")
-    fits = F.col("length") <= F.col("context")
-    kept = F.least("length", "context") * F.col("n_docs")
-    found = counted.join(F.broadcast(wanted)).groupBy("context").agg(
-        F.sum("n_docs").alias("n_docs"),
-        F.sum(F.when(fits, F.col("n_docs")).otherwise(0)).alias("docs_fit"),
-        F.sum(kept).alias("tokens_kept"),
-        F.sum("n_tokens").alias("n_tokens"),
-    )
-    return wanted.join(found, "context", "left").select(
-        "context",
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_docs", "docs_fit", "tokens_kept", "n_tokens")],
-    )
+    """What each context limit keeps, from `histogram`, all limits in one aggregation."""
+    length, docs = F.col("length"), F.col("n_docs")
+    wanted = sorted({int(limit) for limit in limits})
+    measures, rows = [F.sum("n_tokens").alias("tokens"), F.sum("n_docs").alias("docs")], []
+    for i, limit in enumerate(wanted):
+        measures.append(F.sum(F.when(length <= limit, docs).otherwise(0)).alias(f"fit_{i}"))
+        measures.append(F.sum(F.least(length, F.lit(limit)) * docs).alias(f"kept_{i}"))
+        names = {"n_docs": "docs", "docs_fit": f"fit_{i}", "tokens_kept": f"kept_{i}", "n_tokens": "tokens"}
+        row = [F.coalesce(F.col(source), F.lit(0)).alias(name) for name, source in names.items()]
+        rows.append(F.struct(F.lit(limit).cast("long").alias("context"), *row))
+    return counted.agg(*measures).select(F.inline(F.array(*rows)))
 
 
 def quantiles(counted: DataFrame, shares: Sequence[float]) -> DataFrame:
@@ -109,5 +104,8 @@ def quantiles(counted: DataFrame, shares: Sequence[float]) -> DataFrame:
         F.min(F.when(F.col("share_up_to") >= F.lit(float(s)), F.col("length"))).alias(f"q{i}")
         for i, s in enumerate(shares)
     ]
-    pairs = [F.struct(F.lit(float(s)).alias("share"), F.col(f"q{i}").alias("length")) for i, s in enumerate(shares)]
+    pairs = [
+        F.struct(F.lit(float(s)).alias("share"), F.col(f"q{i}").alias("length"))
+        for i, s in enumerate(shares)
+    ]
     return counted.agg(*picks).select(F.inline(F.array(*pairs)))
