@@ -31,6 +31,8 @@ HEADLINES = (
     "monitor_feature_drift",
     "monitor_round_summary",
     "explain_global_importance",
+    "model_logistic_metrics",
+    "batch_gate",
 )
 
 

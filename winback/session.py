@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +48,10 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Called with every frame that is about to be materialised; tests look at the plans.
+watchers: list[Callable[[DataFrame], None]] = []
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write a frame to the shared folder once and read it back.
 
@@ -54,5 +59,7 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     not be computed twice. The files outlive lost executors.
     """
     folder = new_folder(df.sparkSession, label)
+    for watch in watchers:
+        watch(df)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
