@@ -15,6 +15,9 @@ Rows whose vector is null, zero, or holds a null or non-finite component take no
 neither do rows whose vector has another length than most. Rows without an id take no part.
 Rows repeating an id are separate candidates, but not for queries of that id. Fewer
 candidates than k give all of them; an empty table gives no rows.
+
+The sample bounds the number of leaves, so the rows of a leaf grow with the table: raise `sample`
+with it (the forest's size, on the driver and in every task, follows the sample).
 """
 
 from __future__ import annotations
@@ -123,6 +126,9 @@ def opened(forest: list[Tree], point: np.ndarray, most: int) -> list[tuple[int,
     return found
 
 
+_FLOATS, _DOUBLES = "array<float>", "array<double>"
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -131,14 +137,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """(vec_id, vector) of the rows that take part."""
+    """(vec_id, vector) of the rows that take part; single precision stays as short as it is."""
     v = F.col("vector")
+    kind = _FLOATS if vectors.schema[vector_column].dataType.simpleString() == _FLOATS else _DOUBLES
     finite = F.forall(
         v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     ) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(
         F.col(id_column).cast("long").alias("vec_id"),
-        F.col(vector_column).cast("array<double>").alias("vector"),
+        F.col(vector_column).cast(kind).alias("vector"),
     ).filter(F.col("vec_id").isNotNull() & v.isNotNull() & F.coalesce(finite, F.lit(False)))
     sizes = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return rows.filter(F.size("vector") == (sizes["n"] if sizes else 0))
@@ -221,14 +228,34 @@ def nearest(
                     names=["tree", "leaf", "vec_id", "vector"],
                 )
 
-    index = materialise(
-        candidates.select("vec_id", "vector").mapInArrow(
-            place, "tree int, leaf int, vec_id long, vector array<double>"
-        ),
-        "leaves",
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points = _matrix(batch.column("vector"))
+            for number, tree in enumerate(forest.value):
+                held = np.bincount(leaf_of(tree, points), minlength=tree.leaves)
+                leaves = np.flatnonzero(held)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(leaves), number), pa.int32()),
+                        pa.array(leaves, pa.int32()),
+                        pa.array(held[leaves], pa.int64()),
+                    ],
+                    names=["tree", "leaf", "n"],
+                )
+
+    # Leaves are counted first and dealt after: placing a row twice costs less than storing
+    # its vector once per tree.
+    candidates = materialise(candidates.select("vec_id", "vector"), "candidates")
+    sizes = (
+        candidates.mapInArrow(count, "tree int, leaf int, n long")
+        .groupBy("tree", "leaf")
+        .agg(F.ceil(F.sum("n") / PIECE).cast("int").alias("pieces"))
     )
-    sizes = index.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
     sizes = materialise(sizes, "leaf-sizes")
+    kind = candidates.schema["vector"].dataType.simpleString()
+    index = candidates.mapInArrow(place, f"tree int, leaf int, vec_id long, vector {kind}")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,14 +276,16 @@ def nearest(
             )
 
     queries = rows.filter(is_query).mapInArrow(
-        walk, "tree int, leaf int, query_id long, vector array<double>"
+        walk, f"tree int, leaf int, query_id long, vector {kind}"
     )
     # A query meets every piece of a leaf it opened; a row is in one piece.
+    every_piece = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
     asked = queries.join(sizes, ["tree", "leaf"]).select(
-        "tree", "leaf", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), "query_id", "vector"
+        "tree", "leaf", every_piece.alias("piece"), "query_id", "vector"
     )
+    own_piece = F.pmod(F.xxhash64("vec_id"), F.col("pieces")).cast("int")
     held = index.join(sizes, ["tree", "leaf"]).select(
-        "tree", "leaf", F.pmod(F.xxhash64("vec_id"), F.col("pieces")).cast("int").alias("piece"), "vec_id", "vector"
+        "tree", "leaf", own_piece.alias("piece"), "vec_id", "vector"
     )
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
