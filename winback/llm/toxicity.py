@@ -9,7 +9,7 @@ Labelled tokens come from labelled documents: a word is tagged toxic in a toxic
 it, or one of its prefixes, is so much more common in toxic documents that chance does not
 explain it (binomial bound), and most documents that have it are toxic. Weights are fitted by
 gradient steps on the likelihood of these chains. Forward-backward gives each word its
-marginal; the largest marginal and the sum of all, also per hundred words, make the document's
+marginal; the largest and the sum of those above one half, also per hundred words, make the document's
 score through a logistic curve (fitted on every fourth text, which the rest did not see), and
 runs of words above one half are the offending spans.
 
@@ -52,8 +52,8 @@ from winback.llm.texts import (
 FEATURE_BITS = 20
 PER_CLASS = 800
 CHAIN = 64
-# Marginals from here on count towards a document's sum.
-LIKELY = 0.05
+# Words count towards a document's sum if they are toxic rather than not.
+LIKELY = 0.5
 # Bytes of a word that its prefixes (if the word goes on) and its suffix take.
 PREFIXES = (3, 4, 5, 6, 7, 8)
 SUFFIX = 3
@@ -280,7 +280,7 @@ def _joined(chains: list[Chains]) -> Chains:
 
 
 def _evidence(marginal: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Per text: the largest marginal, and the logarithms of one plus the sum of the likely
+    """Per text: the largest marginal, and the logarithms of one plus the sum of the toxic
     ones, in all and per hundred words."""
     n = len(bounds) - 1
     out = np.zeros((n, 3))
