@@ -5,7 +5,10 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
+from tests.compare import difference
+from tests.conftest import SMALL
 from winback.llm import positional_index as index
+from winback.llm.queries import QUERIES, SQL
 from winback.session import new_folder
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -107,3 +110,8 @@ def test_gaps_of_any_size_survive():
     data, size = index._pack(gaps)
     assert size.sum() == len(data)
     assert index._unpack(data).tolist() == gaps.tolist()
+
+
+def test_query_equals_its_sql(spark, con):
+    name = "op5_decontamination"
+    assert difference(con, QUERIES[name](spark, SMALL), SQL[name]) is None

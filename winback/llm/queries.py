@@ -161,4 +161,34 @@ QUERIES: dict[str, Query] = {
         op10_quality_scores,
     )
 }
-SQL: dict[str, str] = {}
+
+def _words_sql(text: str) -> str:
+    lowered = (
+        f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    )
+    return rf"regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+# Tokenizers, fitted models, XXH64 and approximate search have no SQL; the tests compare those
+# operators with brute force.
+SQL: dict[str, str] = {
+    "op5_decontamination": f"""
+WITH w AS (SELECT doc_id, {_words_sql('text')} AS ws FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words_sql('text')} AS ws FROM benchmark),
+windows AS (SELECT DISTINCT item, n, array_to_string(ws[p:p + n - 1], ' ') AS g
+  FROM (SELECT item, ws, least(13, len(ws)) AS n,
+      unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS p FROM i WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+grams AS (SELECT doc_id, n, p, array_to_string(ws[p:p + n - 1], ' ') AS g
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS p
+    FROM w, sizes WHERE len(ws) >= n)),
+matches AS (SELECT DISTINCT doc_id, p, n, item FROM grams JOIN windows USING (n, g)),
+hits AS (SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM matches) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM matches) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM w LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)""",
+}
