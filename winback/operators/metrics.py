@@ -93,8 +93,12 @@ def evaluate(
     through equal scores are the rows of that score put in the order of `keys`.
     """
     group = list(group)
-    rows = df.select(
-        *group, *keys, F.col(score).alias("_s"), F.col(target).cast("bigint").alias("_y")
+    # Stored: the rows are counted, sampled for ranges, and met again at the edges.
+    rows = materialise(
+        df.select(
+            *group, *keys, F.col(score).alias("_s"), F.col(target).cast("bigint").alias("_y")
+        ),
+        "scored",
     )
     counted = rows.groupBy(*group, "_s").agg(
         F.count("*").alias("_rows"),
