@@ -1,6 +1,7 @@
 """Forest search against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,3 +90,19 @@ def test_queue_opens_the_nearest_leaves_of_all_trees():
 def test_equal_points_are_one_leaf():
     tree = neighbours.grow(np.ones((100, 4)), 10, 0)
     assert tree.leaves == 1 and neighbours.leaf_of(tree, np.ones((2, 4))).tolist() == [0, 0]
+
+
+@pytest.mark.parametrize("n", [2_000, 20_000])
+def test_recall_without_structure_at_any_size(spark, n):
+    random = np.random.default_rng(6)
+    points = random.normal(size=(n, 64))
+    points = (points / np.linalg.norm(points, axis=1)[:, None]).astype("f4")
+    frame = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": list(points)}))
+    found = neighbours.nearest(frame, F.col("vec_id") % 400 == 0).toPandas()
+    recall = []
+    for q, near in found.groupby("query_id"):
+        far = ((points.astype(float) - points[q]) ** 2).sum(1)
+        far[q] = np.inf
+        recall.append(len(set(np.argsort(far)[:10]) & set(near["vec_id"])) / 10)
+    assert len(recall) == n // 400
+    assert np.mean(recall) >= 0.9

@@ -2,10 +2,15 @@
 
 Trees are grown on a bounded sample, each by a task: a node cuts its points at the median
 of their projection on the line between two of them. Every row is then put into its leaf
-of every tree. A query walks all trees at once with one priority queue, nearest cut first,
-until it has opened a number of leaves in all. Leaves are split into pieces of bounded
-size; a task compares a piece's rows with the queries that opened its leaf, exactly and in
-double precision, and passes on the nearest few of each query.
+of every tree. A query walks all trees at once in one order of priority, nearest cut first,
+until it has opened a number of leaves in all. That number is measured on each table: some
+queries are compared with all rows, and as many leaves are opened as give them RECALL of
+their true neighbours. Vectors without structure need a third of all leaves or more.
+
+Neighbouring leaves of a tree make a region, and a query meets the leaves it opened of a
+region at once. Regions are split into pieces of bounded size; a task compares a piece's
+rows with the queries that opened their leaves, exactly and in double precision, and passes
+on the nearest few of each query.
 
 Of rows with equal vectors only the k + 1 smallest ids can be among anyone's k nearest
 (ties go to the smaller id, and one may be the query), so the others stay out of the index:
@@ -22,12 +27,12 @@ with it (the forest's size, on the driver and in every task, follows the sample)
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,10 +41,19 @@ from winback.session import materialise
 TREES = 8
 SAMPLE = 40_000
 LEAF = 64
-# Leaves that a query opens over all trees.
+# Leaves that a query opens over all trees, at least.
 OPENED = 60
-# Rows of a leaf that one task compares.
+# Mean share of the true neighbours that the opened leaves hold, on the queries that are
+# compared with all rows; and how many these are.
+RECALL = 0.95
+PROBES = 100
+# Neighbouring leaves that a query meets at once.
+REGION = 64
+# Rows of a region that one task compares.
 PIECE = 50_000
+# Queries walked or compared at once, and distances held at once.
+BLOCK = 256
+DISTANCES = 1 << 20
 
 
 class Tree(NamedTuple):
@@ -108,22 +122,70 @@ def leaf_of(tree: Tree, points: np.ndarray) -> np.ndarray:
     return ~at
 
 
+def urgencies(forest: list[Tree], points: np.ndarray) -> np.ndarray:
+    """Points x leaves of all trees, one tree after the other: the largest distance to a cut
+    that separates the point from the leaf, below zero for the leaf it lies in."""
+    out = np.empty((sum(tree.leaves for tree in forest), len(points)))
+    base = 0
+    for tree in forest:
+        far = np.full((len(tree.cuts) + 1, len(points)), -np.inf)
+        sides = tree.normals @ points.T - tree.cuts[:, None]
+        # Parents come before their children.
+        for node, (left, right) in enumerate(tree.children.tolist()):
+            side = sides[node]
+            for child, crossed in ((left, side > 0), (right, side <= 0)):
+                value = np.maximum(far[node], np.where(crossed, np.abs(side), -np.inf))
+                if child < 0:
+                    out[base + ~child] = value
+                else:
+                    far[child] = value
+        if not len(tree.cuts):
+            out[base] = -np.inf
+        base += tree.leaves
+    return out.T
+
+
+def places(forest: list[Tree]) -> np.ndarray:
+    """(tree, leaf) of the columns of `urgencies`."""
+    return np.array([(t, n) for t, tree in enumerate(forest) for n in range(tree.leaves)], np.int32)
+
+
 def opened(forest: list[Tree], point: np.ndarray, most: int) -> list[tuple[int, int]]:
     """(tree, leaf) in the order of a priority queue shared by all trees: a branch is as
     urgent as the smallest distance to a cut that separates it from the point."""
-    sides = [tree.normals @ point - tree.cuts for tree in forest]
-    queue = [(-np.inf, t, 0 if len(tree.cuts) else ~0) for t, tree in enumerate(forest)]
-    heapq.heapify(queue)
-    found: list[tuple[int, int]] = []
-    while queue and len(found) < most:
-        far, t, node = heapq.heappop(queue)
-        while node >= 0:
-            side = sides[t][node]
-            near, other = forest[t].children[node, ::-1] if side > 0 else forest[t].children[node]
-            heapq.heappush(queue, (max(far, abs(side)), t, int(other)))
-            node = int(near)
-        found.append((t, ~node))
-    return found
+    order = np.argsort(urgencies(forest, point[None])[0], kind="stable")[:most]
+    return [(int(t), int(n)) for t, n in places(forest)[order]]
+
+
+def _closest(points: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, point) of all pairs that can be among the k nearest of a query."""
+    p2, q2 = (points**2).sum(1), (queries**2).sum(1)
+    rough = p2 + q2[:, None] - 2 * queries @ points.T
+    if len(points) <= k:
+        return np.nonzero(np.ones(rough.shape, bool))
+    # What rounding can move a rough distance by.
+    slack = 8 * (points.shape[1] + 4) * np.finfo(float).eps * (p2.max() + q2)
+    limit = np.partition(rough, k - 1, axis=1)[:, k - 1] + slack
+    return np.nonzero(~(rough > limit[:, None]))
+
+
+def _distances(points, queries, point: np.ndarray, query: np.ndarray) -> np.ndarray:
+    out = np.empty(len(point))
+    step = max(1, DISTANCES // max(1, points.shape[1]))
+    for at in range(0, len(point), step):
+        some = slice(at, at + step)
+        out[some] = np.sqrt(((points[point[some]] - queries[query[some]]) ** 2).sum(1))
+    return out
+
+
+def _first(owner: np.ndarray, far: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k nearest of each owner; equal pairs count once."""
+    order = np.lexsort((ids, far, owner))
+    o, f, i = owner[order], far[order], ids[order]
+    new = np.ones(len(o), bool)
+    new[1:] = (o[1:] != o[:-1]) | (f[1:] != f[:-1]) | (i[1:] != i[:-1])
+    order, o = order[new], o[new]
+    return order[np.arange(len(o)) - np.searchsorted(o, o) < k]
 
 
 _FLOATS, _DOUBLES = "array<float>", "array<double>"
@@ -191,6 +253,86 @@ def grow_forest(rows: DataFrame, trees: int, sample: int, leaf: int) -> list[Tre
     ]
 
 
+def leaves_to_open(
+    candidates: DataFrame, queries: DataFrame, forest: list[Tree], k: int, recall: float
+) -> int:
+    """Leaves that hold `recall` of the k nearest of some queries, drawn by the hash of their
+    vectors, each vector once."""
+    spark = candidates.sparkSession
+    drawn = queries.groupBy("vector").agg(F.min("vec_id").alias("vec_id"))
+    drawn = drawn.orderBy(F.xxhash64(F.lit(5), "vec_id"), "vec_id").limit(PROBES).toArrow()
+    if not drawn.num_rows:
+        return OPENED
+    probes, names = _matrix(drawn.column("vector")), drawn.column("vec_id").to_numpy()
+    shared = spark.sparkContext.broadcast((forest, probes, names))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees, probes, names = shared.value
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points, ids = _matrix(batch.column("vector")), batch.column("vec_id").to_numpy()
+            probe, point = _closest(points, probes, k + 1)
+            other = ids[point] != names[probe]
+            probe, point = probe[other], point[other]
+            leaves = np.column_stack([leaf_of(tree, points) for tree in trees])
+            new = [probe, _distances(points, probes, point, probe), ids[point], leaves[point]]
+            held = [np.concatenate(x) for x in zip(held, new)] if held else new
+            best = _first(*held[:3], k)
+            held = [x[best] for x in held]
+        if held:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(held[0], pa.int32()),
+                    pa.array(held[1], pa.float64()),
+                    pa.array(held[2], pa.int64()),
+                    pa.array(list(held[3]), pa.list_(pa.int32())),
+                ],
+                names=["probe", "far", "vec_id", "leaves"],
+            )
+
+    found = candidates.mapInArrow(compare, "probe int, far double, vec_id long, leaves array<int>")
+    order = Window.partitionBy("probe").orderBy("far", "vec_id")
+    found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    found = found.select("probe", "leaves").toArrow()
+    if not found.num_rows:
+        return OPENED
+    probe, leaves = found.column("probe").to_numpy(), np.array(found.column("leaves").to_pylist())
+    turns = np.argsort(np.argsort(urgencies(forest, probes), axis=1), axis=1)
+    begins = np.cumsum([0] + [tree.leaves for tree in forest[:-1]])
+    needed = np.sort(turns[probe[:, None], leaves + begins].min(axis=1))
+    return max(OPENED, int(needed[int(np.ceil(recall * len(needed))) - 1]) + 1)
+
+
+def _meet(ids, points, leaves, begins, stops, asked: pa.Table, k: int) -> Iterator[tuple]:
+    """(queries, ids, distances): the k nearest of some queries in the leaves they opened."""
+    queries, names = _matrix(asked.column("vector")), asked.column("query_id").to_numpy()
+    lists = asked.column("leaves").combine_chunks()
+    wanted = lists.flatten().to_numpy()
+    owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+    order = np.argsort(wanted, kind="stable")
+    wanted, owner = wanted[order], owner[order]
+    firsts, ends = np.searchsorted(wanted, leaves), np.searchsorted(wanted, leaves, "right")
+    found = []
+    for begin, stop, first, end in zip(*(x.tolist() for x in (begins, stops, firsts, ends))):
+        step = max(1, DISTANCES // (stop - begin))
+        for at in range(first, end, step):
+            some = owner[at : min(at + step, end)]
+            # A query may be among its own nearest.
+            query, point = _closest(points[begin:stop], queries[some], k + 1)
+            query, point = some[query], point + begin
+            other = ids[point] != names[query]
+            query, point = query[other], point[other]
+            far = _distances(points, queries, point, query)
+            best = _first(query, far, ids[point], k)
+            found.append((query[best], ids[point[best]], far[best]))
+    if found:
+        query, near, far = (np.concatenate(x) for x in zip(*found))
+        best = _first(query, far, near, k)
+        yield names[query[best]], near[best], far[best]
+
+
 def nearest(
     vectors: DataFrame,
     is_query: Column,
@@ -198,13 +340,14 @@ def nearest(
     trees: int = TREES,
     sample: int = SAMPLE,
     leaf: int = LEAF,
-    open_leaves: int = OPENED,
+    open_leaves: int | None = None,
     id_column: str = "vec_id",
     vector_column: str = "embedding",
 ) -> DataFrame:
     """The k nearest found of every query row: query_id, rank, vec_id, score (distance).
 
-    `is_query` is a condition on `vec_id`.
+    `is_query` is a condition on `vec_id`. A query opens `open_leaves` leaves, by default as
+    many as RECALL takes on this table.
     """
     rows = materialise(usable(vectors, id_column, vector_column), "vectors")
     spark = rows.sparkSession
@@ -234,73 +377,84 @@ def nearest(
                 continue
             points = _matrix(batch.column("vector"))
             for number, tree in enumerate(forest.value):
-                held = np.bincount(leaf_of(tree, points), minlength=tree.leaves)
-                leaves = np.flatnonzero(held)
+                held = np.bincount(leaf_of(tree, points) // REGION)
+                regions = np.flatnonzero(held)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(leaves), number), pa.int32()),
-                        pa.array(leaves, pa.int32()),
-                        pa.array(held[leaves], pa.int64()),
+                        pa.array(np.full(len(regions), number), pa.int32()),
+                        pa.array(regions, pa.int32()),
+                        pa.array(held[regions], pa.int64()),
                     ],
-                    names=["tree", "leaf", "n"],
+                    names=["tree", "region", "n"],
                 )
 
-    # Leaves are counted first and dealt after: placing a row twice costs less than storing
+    # Regions are counted first and dealt after: placing a row twice costs less than storing
     # its vector once per tree.
     candidates = materialise(candidates.select("vec_id", "vector"), "candidates")
     sizes = (
-        candidates.mapInArrow(count, "tree int, leaf int, n long")
-        .groupBy("tree", "leaf")
+        candidates.mapInArrow(count, "tree int, region int, n long")
+        .groupBy("tree", "region")
         .agg(F.ceil(F.sum("n") / PIECE).cast("int").alias("pieces"))
     )
-    sizes = materialise(sizes, "leaf-sizes")
+    sizes = materialise(sizes, "region-sizes")
+    if open_leaves is None:
+        open_leaves = leaves_to_open(candidates, rows.filter(is_query), forest.value, k, RECALL)
     kind = candidates.schema["vector"].dataType.simpleString()
     index = candidates.mapInArrow(place, f"tree int, leaf int, vec_id long, vector {kind}")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = places(forest.value)
+        region = place[:, 1] // REGION
+        most = min(open_leaves, len(place))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            points = _matrix(batch.column("vector"))
-            found = [opened(forest.value, point, open_leaves) for point in points]
-            owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
-            places = np.array([p for f in found for p in f], np.int32).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(places[:, 0]),
-                    pa.array(places[:, 1]),
-                    batch.column("vec_id").take(pa.array(owner)),
-                    batch.column("vector").take(pa.array(owner)),
-                ],
-                names=["tree", "leaf", "query_id", "vector"],
-            )
+            for at in range(0, batch.num_rows, BLOCK):
+                some = batch.slice(at, BLOCK)
+                urgent = urgencies(forest.value, _matrix(some.column("vector")))
+                chosen = np.sort(np.argpartition(urgent, most - 1, axis=1)[:, :most], axis=1).ravel()
+                owner = np.repeat(np.arange(some.num_rows), most)
+                new = np.ones(len(owner), bool)
+                new[1:] = owner[1:] != owner[:-1]
+                new[1:] |= place[chosen[1:], 0] != place[chosen[:-1], 0]
+                new[1:] |= region[chosen[1:]] != region[chosen[:-1]]
+                begins = np.flatnonzero(new)
+                asker = pa.array(owner[begins])
+                edges = pa.array(np.append(begins, len(owner)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(place[chosen[begins], 0]),
+                        pa.array(region[chosen[begins]]),
+                        some.column("vec_id").take(asker),
+                        some.column("vector").take(asker),
+                        pa.ListArray.from_arrays(edges, pa.array(place[chosen, 1])),
+                    ],
+                    names=["tree", "region", "query_id", "vector", "leaves"],
+                )
 
     queries = rows.filter(is_query).mapInArrow(
-        walk, f"tree int, leaf int, query_id long, vector {kind}"
+        walk, f"tree int, region int, query_id long, vector {kind}, leaves array<int>"
     )
-    # A query meets every piece of a leaf it opened; a row is in one piece.
+    # A query meets every piece of a region it opened; a row is in one piece.
     every_piece = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
-    asked = queries.join(sizes, ["tree", "leaf"]).select(
-        "tree", "leaf", every_piece.alias("piece"), "query_id", "vector"
+    asked = queries.join(sizes, ["tree", "region"]).select(
+        "tree", "region", every_piece.alias("piece"), "query_id", "vector", "leaves"
     )
     own_piece = F.pmod(F.xxhash64("vec_id"), F.col("pieces")).cast("int")
-    held = index.join(sizes, ["tree", "leaf"]).select(
-        "tree", "leaf", own_piece.alias("piece"), "vec_id", "vector"
+    index = index.withColumn("region", F.floor(F.col("leaf") / REGION).cast("int"))
+    held = index.join(sizes, ["tree", "region"]).select(
+        "tree", "region", own_piece.alias("piece"), "leaf", "vec_id", "vector"
     )
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         names, scores, owners = [], [], []
         if left.num_rows and right.num_rows:
+            left = left.sort_by("leaf")
             ids, points = left.column("vec_id").to_numpy(), _matrix(left.column("vector"))
-            for query, point in zip(
-                right.column("query_id").to_numpy().tolist(), _matrix(right.column("vector"))
-            ):
-                far = np.sqrt(((points - point) ** 2).sum(1))
-                best = np.lexsort((ids, far))
-                best = best[ids[best] != query][:k]
-                names.append(ids[best])
-                scores.append(far[best])
-                owners.append(np.full(len(best), query))
+            leaves, begins = np.unique(left.column("leaf").to_numpy(), return_index=True)
+            stops = np.append(begins[1:], len(ids))
+            for at in range(0, right.num_rows, BLOCK):
+                for found in _meet(ids, points, leaves, begins, stops, right.slice(at, BLOCK), k):
+                    for whole, part in zip((owners, names, scores), found):
+                        whole.append(part)
         return pa.table(
             {
                 "query_id": pa.array(np.concatenate(owners) if owners else [], pa.int64()),
@@ -309,7 +463,7 @@ def nearest(
             }
         )
 
-    key = ["tree", "leaf", "piece"]
+    key = ["tree", "region", "piece"]
     found = (
         held.groupBy(*key)
         .cogroup(asked.groupBy(*key))
