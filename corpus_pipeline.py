@@ -1,8 +1,8 @@
 """The training-text pipeline: stages over `documents`, each written and read again.
 
-Every stage but the last returns the columns it was given. A document id stands for its
-rows: where a decision is made per id (copies, contamination), rows without an id are
-kept, and of rows that repeat a kept id one stays after the near-duplicate stage.
+Every stage but the last returns the columns it was given. Decisions are made per row, by a
+key of its own that a stage stores first: rows without an id are judged like any other, and
+so is each of several rows with one id.
 """
 
 from __future__ import annotations
@@ -35,22 +35,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col("_toxicity") < TOXIC_CUT).drop("_toxicity")
 
 
+def with_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents, stored with a number of each row, and the name of that column."""
+    key = "_key"
+    while key in (name.lower() for name in docs.columns):
+        key += "_"
+    return materialise(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints: the one with the smallest id."""
-    found = simhash.near_duplicates(docs)
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = materialise(kept, "kept")
-    unnamed = docs.filter(F.col("doc_id").isNull())
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(unnamed)
+    """One row of each group of linked fingerprints: the one with the smallest id (none is
+    larger than any), of several the one with the smallest key."""
+    keyed, key = with_key(docs)
+    found = simhash.near_duplicates(keyed, id_column=key).withColumnRenamed("doc_id", key)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", key)
+    ids = keyed.select(key, "doc_id").join(found.select(key, "component_id"), key)
+    kept = ids.groupBy("component_id").agg(F.min(order)[key].alias(key)).select(key)
+    return keyed.join(materialise(kept, "kept"), key, "left_semi").drop(key)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth is inside a benchmark window."""
+    keyed, key = with_key(docs)
     path = new_folder(spark, "positional-index")
-    positional_index.build(docs, path)
+    positional_index.build(keyed, path, id_column=key)
     found = positional_index.search(spark, path, table(spark, sf_dir, "benchmark"))
-    hit = positional_index.contamination(found).filter("contaminated").select("doc_id").distinct()
-    return docs.join(materialise(hit, "contaminated"), "doc_id", "left_anti").select(docs.columns)
+    hit = positional_index.contamination(found).filter("contaminated")
+    hit = materialise(hit.select(F.col("doc_id").alias(key)), "contaminated")
+    return keyed.join(hit, key, "left_anti").drop(key)
 
 
 def pack_best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

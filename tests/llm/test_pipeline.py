@@ -54,6 +54,37 @@ def test_stages_remove_what_they_should(spark, tmp_path):
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(got[0].asDict())
 
 
+def rows_of(frame):
+    return sorted(((r.doc_id is None, r.doc_id or 0, r.text) for r in frame.collect()))
+
+
+def test_rows_without_id_or_with_one_id_are_judged_alone(spark, tmp_path):
+    random.seed(3)
+    a, b, c, d, e, passage = (" ".join(random.choices(WORDS, k=60)) for _ in range(6))
+    schema = "doc_id long, text string, _key string"
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+
+    def run(stage, rows):
+        docs = spark.createDataFrame([(i, t, "?") for i, t in rows], schema).repartition(3)
+        found = stage(spark, docs, str(tmp_path))
+        assert found.columns == docs.columns
+        return rows_of(found)
+
+    # Copies of each other and of a document with an id; texts of their own under one id.
+    rows = [(None, a), (1, a), (None, a), (None, b), (5, c), (5, d), (5, c), (4, c), (None, e), (None, e)]
+    kept = [(1, a), (4, c), (5, d), (None, b), (None, e)]
+    assert run(corpus_pipeline.drop_near_duplicates, rows) == sorted(
+        (i is None, i or 0, t) for i, t in kept
+    )
+    rows = [(None, passage), (None, a), (9, passage), (9, b), (7, c), (7, c)]
+    kept = [(None, a), (9, b), (7, c), (7, c)]
+    assert run(corpus_pipeline.drop_contaminated, rows) == sorted(
+        (i is None, i or 0, t) for i, t in kept
+    )
+
+
 def test_all_operators_are_registered():
     names = entry.queries()
     assert "pipeline" in names
