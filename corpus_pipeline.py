@@ -59,7 +59,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     keyed, key = with_key(docs)
     path = new_folder(spark, "positional-index")
     positional_index.build(keyed, path, id_column=key)
-    found = positional_index.search(spark, path, table(spark, sf_dir, "benchmark"))
+    found = positional_index.search(spark, path, table(spark, sf_dir, "benchmark"), unnamed=True)
     hit = positional_index.contamination(found).filter("contaminated")
     hit = materialise(hit.select(F.col("doc_id").alias(key)), "contaminated")
     return keyed.join(hit, key, "left_anti").drop(key)

@@ -5,7 +5,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from tests.compare import difference
+from tests.compare import database, difference
 from tests.conftest import SMALL
 from winback.llm import positional_index as index
 from winback.llm.queries import QUERIES, SQL
@@ -115,3 +115,30 @@ def test_gaps_of_any_size_survive():
 def test_query_equals_its_sql(spark, con):
     name = "op5_decontamination"
     assert difference(con, QUERIES[name](spark, SMALL), SQL[name]) is None
+
+
+def test_items_without_id_are_searched_as_in_the_sql(spark, tmp_path, monkeypatch):
+    some = [f"w{i}" for i in range(60)]
+    one, two, three = (" ".join(some[a : a + 15]) for a in (0, 20, 40))
+    items = [(None, one), (None, "w1 w2 w3"), (7, two), (None, two), (None, None), (8, three)]
+    docs = [(1, one), (2, "x " + two + " y"), (3, three + " " + one), (4, "x w1 w2 w3 y"), (5, "x"), (None, one)]
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        frame = spark.createDataFrame(rows, f"{key} long, text string")
+        frame.toPandas().astype({key: "Int64"}).to_parquet(f"{tmp_path}/{name}.parquet")
+    name = "op5_decontamination"
+    docs_with_id = {r.doc_id: r for r in QUERIES[name](spark, str(tmp_path)).collect()}
+    assert {i: (r.n_hit, r.n_items, r.contaminated) for i, r in docs_with_id.items()} == {
+        1: (15, 1, True), 2: (15, 2, True), 3: (30, 2, True), 4: (3, 1, True), 5: (0, 0, False),
+        None: (15, 1, True),
+    }
+    spark.createDataFrame(docs[:-1], "doc_id long, text string").toPandas().to_parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    for words_of_block in (index.BLOCK_WORDS, 10):
+        search = index.search
+        with monkeypatch.context() as patch:
+            patch.setattr(
+                index, "search", lambda *a, **o: search(*a, **o, block_words=words_of_block)
+            )
+            found = QUERIES[name](spark, str(tmp_path))
+            assert difference(database(str(tmp_path)), found, SQL[name]) is None

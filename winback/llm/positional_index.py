@@ -17,12 +17,14 @@ Words are runs of ASCII digits and letters (A-Z lowered) and of characters outsi
 null or empty text has no words and matches nothing; an item without words has no window.
 Repeated documents and repeated items count each. Documents keep their row: equal or null
 ids stay separate rows. Only the id and text columns are read. Empty tables give no rows,
-an empty item table gives documents without hits.
+an empty item table gives documents without hits. Items without an id are left out, or with
+`unnamed` searched like any other: their windows mark hit words and all of them together
+are one null in `items`, which counts as an item and adds no name to the digest.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from typing import NamedTuple
 
@@ -151,12 +153,12 @@ class Block(NamedTuple):
     terms: list[bytes]
     windows: np.ndarray  # windows x width term numbers, -1 past the end of a short one
     lengths: np.ndarray
-    owners: list[list[str]]
+    owners: list[list[str | None]]
 
 
-def windows_of(items: list[tuple[str, bytes]], width: int = WINDOW) -> Block:
+def windows_of(items: list[tuple[str | None, bytes]], width: int = WINDOW) -> Block:
     terms: dict[bytes, int] = {}
-    found: dict[tuple[int, ...], dict[str, None]] = {}
+    found: dict[tuple[int, ...], dict[str | None, None]] = {}
     for name, text in items:
         flat = flatten(pa.array([text], pa.binary()))
         got = words(flat._replace(data=lower_ascii(flat.data)), LETTERS_AND_DIGITS)
@@ -171,6 +173,10 @@ def windows_of(items: list[tuple[str, bytes]], width: int = WINDOW) -> Block:
     return Block(list(terms), table, lengths, [list(owners) for owners in found.values()])
 
 
+def _in_order(names: Iterable[str | None]) -> list[str | None]:
+    return sorted(names, key=lambda name: (name is None, name or ""))
+
+
 class _Lists:
     """Position lists of a segment for the terms of a block."""
 
@@ -258,8 +264,8 @@ def _search_segment(segment: dict, block: Block, by_rarity, wanted, near) -> pa.
     n = len(bounds) - 1
     lists = _Lists(segment, wanted)
     change = np.zeros(int(bounds[-1]) + 1, np.int32)
-    items: dict[int, set[str]] = {}
-    near_items: dict[int, set[str]] = {}
+    items: dict[int, set[str | None]] = {}
+    near_items: dict[int, set[str | None]] = {}
     for w, starts in _phrases(block, by_rarity, lists, bounds):
         np.add.at(change, starts, 1)
         np.add.at(change, starts + int(block.lengths[w]), -1)
@@ -290,9 +296,9 @@ def _search_segment(segment: dict, block: Block, by_rarity, wanted, near) -> pa.
             "doc_id": segment["doc_ids"],
             "n_words": pa.array(np.diff(bounds)),
             "spans": pa.ListArray.from_arrays(pa.array(edges), spans),
-            "items": pa.array([sorted(items.get(i, ())) for i in range(n)], pa.list_(pa.string())),
+            "items": pa.array([_in_order(items.get(i, ())) for i in range(n)], pa.list_(pa.string())),
             "near_items": pa.array(
-                [sorted(near_items.get(i, ())) for i in range(n)], pa.list_(pa.string())
+                [_in_order(near_items.get(i, ())) for i in range(n)], pa.list_(pa.string())
             ),
         }
     )
@@ -327,17 +333,19 @@ def _term_counts(index: DataFrame, terms: list[bytes]) -> dict[int, int]:
 
 
 def _blocks(
-    items: DataFrame, item_column: str, text_column: str, block_words: int
-) -> Iterator[list[tuple[str, bytes]]]:
+    items: DataFrame, item_column: str, text_column: str, block_words: int, unnamed: bool
+) -> Iterator[list[tuple[str | None, bytes]]]:
     """Items in blocks of about `block_words` words; each block is what the driver holds."""
-    named = items.select(
+    held = items.select(
         F.col(item_column).cast("string").alias("item"), F.col(text_column).cast("string").alias("text")
-    ).filter("item is not null and text is not null")
+    ).filter("text is not null")
+    if not unnamed:
+        held = held.filter("item is not null")
     # A word takes two bytes at least, with what separates it.
-    bytes_in_all = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bytes_in_all = held.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-bytes_in_all // (2 * block_words)))
     for number in range(blocks):
-        chosen = named.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == number)
+        chosen = held.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == number)
         yield [(r.item, r.text.encode()) for r in chosen.distinct().collect()]
 
 
@@ -350,12 +358,14 @@ def search(
     width: int = WINDOW,
     near: int | None = None,
     block_words: int = BLOCK_WORDS,
+    unnamed: bool = False,
 ) -> DataFrame:
     """Every document of the index with its words, the spans of words inside occurrences
-    of windows, and the items whose windows occur (and, with `near`, occur without order)."""
+    of windows, and the items whose windows occur (and, with `near`, occur without order).
+    `unnamed` searches the items without an id as well."""
     index = spark.read.schema(_SEGMENTS).parquet(path)
     passes = []
-    for held in _blocks(items, item_column, text_column, block_words):
+    for held in _blocks(items, item_column, text_column, block_words, unnamed):
         block = windows_of(held, width)
         totals = _term_counts(index, block.terms) if block.terms else {}
         rarity = np.array([totals.get(i, 0) for i in range(len(block.terms))] + [1 << 62])

@@ -91,7 +91,7 @@ def op4_languages(spark: SparkSession, folder: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "positional-index")
     positional_index.build(table(spark, folder, "documents"), path)
-    found = positional_index.search(spark, path, table(spark, folder, "benchmark"))
+    found = positional_index.search(spark, path, table(spark, folder, "benchmark"), unnamed=True)
     return positional_index.contamination(found)
 
 
