@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winback.llm.learning import dual_coordinate_descent, sigmoid
+from winback.llm.rows import free_name
 from winback.llm.texts import Flat, byte_set, flatten, lower_ascii, parts
 
 # Families of ISO 639-1 codes; a code that is not here is its own family.
@@ -209,14 +210,14 @@ def with_language(
         return pa.StructArray.from_arrays([names, pa.array(scores)], names=["language", "score"])
 
     has_letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    found, letter = free_name(documents, "_found"), free_name(documents, "_letter")
     return (
-        documents.withColumn("_found", predict(text))
-        .withColumn("_letter", has_letter)
+        documents.withColumns({found: predict(text), letter: has_letter})
         .withColumns(
             {
-                language: F.when(F.col("_letter"), F.col("_found.language")).otherwise("und"),
-                score: F.when(F.col("_letter"), F.col("_found.score")).otherwise(0.0),
+                language: F.when(F.col(letter), F.col(found)["language"]).otherwise("und"),
+                score: F.when(F.col(letter), F.col(found)["score"]).otherwise(0.0),
             }
         )
-        .drop("_found", "_letter")
+        .drop(found, letter)
     )

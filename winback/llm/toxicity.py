@@ -36,6 +36,7 @@ from winback.llm.learning import (
     logistic,
     sigmoid,
 )
+from winback.llm.rows import free_name
 from winback.llm.texts import (
     LETTERS_AND_DIGITS,
     Flat,
@@ -388,7 +389,8 @@ def with_score(
 ) -> DataFrame:
     """All rows and columns of the documents, their score, and their toxic spans if named."""
     tagged = scorer(model)(F.col(text_column).cast("string"))
-    out = documents.withColumn("_tagged", tagged).withColumn(name, F.col("_tagged.score"))
+    held = free_name(documents, "_tagged")
+    out = documents.withColumn(held, tagged).withColumn(name, F.col(held)["score"])
     if spans:
-        out = out.withColumn(spans, F.col("_tagged.spans"))
-    return out.drop("_tagged")
+        out = out.withColumn(spans, F.col(held)["spans"])
+    return out.drop(held)
