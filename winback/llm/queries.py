@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winback.llm import (
+    i_match,
     language,
     neighbours,
     packing,
@@ -146,6 +147,10 @@ def op10_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_i_match(spark: SparkSession, folder: str) -> DataFrame:
+    return i_match.against_edits(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -159,9 +164,11 @@ QUERIES: dict[str, Query] = {
         op8_simhash_components,
         op9_neighbours,
         op10_quality_scores,
+        op11_i_match,
     )
 }
 
+
 def _words_sql(text: str) -> str:
     lowered = (
         f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -169,6 +176,15 @@ def _words_sql(text: str) -> str:
     return rf"regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
+def _likeness_sql(left: str, right: str) -> str:
+    nothing = "0" * i_match.DIGITS
+    pairs = f"list_filter(list_zip({left}, {right}), lambda x: x[1] != '{nothing}' OR x[2] != '{nothing}')"
+    return (
+        f"CASE WHEN len({pairs}) = 0 THEN 1.0 "
+        f"ELSE len(list_filter({pairs}, lambda x: x[1] = x[2])) / CAST(len({pairs}) AS DOUBLE) END"
+    )
+
+
 # Tokenizers, fitted models, XXH64 and approximate search have no SQL; the tests compare those
 # operators with brute force.
 SQL: dict[str, str] = {
@@ -191,4 +207,40 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM w LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op11_i_match": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+o AS (SELECT doc_id, text, n, lead(doc_id) OVER (ORDER BY doc_id DESC) AS after FROM d),
+p AS (SELECT o.doc_id, o.text, o.n, x.doc_id AS after, x.text AS follower
+  FROM o JOIN d AS x ON x.doc_id = coalesce(o.after, (SELECT max(doc_id) FROM d))),
+e AS (SELECT *, substr(text, 1, n - n // 2) || substr(follower, 1, n // 2) AS edited FROM p),
+t AS (SELECT doc_id, 'own' AS kind, list_distinct({_words_sql('text')}) AS ts FROM e
+  UNION ALL SELECT doc_id, 'edited', list_distinct({_words_sql('edited')}) FROM e),
+u AS (SELECT doc_id, kind, unnest(ts) AS term FROM t),
+lexicon AS (SELECT term FROM u WHERE kind = 'own' GROUP BY term
+  HAVING count(*) * {i_match.MOST} <= (SELECT count(*) FROM d)
+    AND count(*) * {i_match.LEAST} >= (SELECT count(*) FROM d)),
+f AS (SELECT u.* FROM u JOIN lexicon USING (term)),
+whole AS (SELECT doc_id, kind, string_agg(term, ' ' ORDER BY term) AS w FROM f GROUP BY ALL),
+outside AS (SELECT doc_id, kind, string_agg(term, ' ' ORDER BY term) AS w
+  FROM u ANTI JOIN whole USING (doc_id, kind) GROUP BY ALL),
+grid AS (SELECT j, h, j * {len(i_match.HALVINGS)} + h - {i_match.HALVINGS[0]} AS slot
+  FROM range({i_match.FAMILIES}) AS a(j),
+    range({i_match.HALVINGS.start}, {i_match.HALVINGS.stop}) AS b(h)),
+drawn AS (SELECT term, j, CAST('0x' || substr(sha256(term), 4 * j + 1, 4) AS BIGINT) AS draw
+  FROM lexicon, range({i_match.FAMILIES}) AS a(j)),
+subsets AS (SELECT doc_id, kind, slot, string_agg(term, ' ' ORDER BY term) AS w
+  FROM f JOIN drawn USING (term) JOIN grid USING (j) WHERE draw < (65536 >> h) GROUP BY ALL),
+hashes AS (SELECT doc_id, kind, -1 AS slot, w FROM whole UNION ALL SELECT doc_id, kind, -1, w FROM outside
+  UNION ALL SELECT doc_id, kind, slot, w FROM subsets),
+every AS (SELECT doc_id, kind, slot FROM t, (SELECT -1 AS slot UNION ALL SELECT slot FROM grid)),
+fp AS (SELECT doc_id, kind, list(coalesce(substr(md5(w), 1, {i_match.DIGITS}), '{'0' * i_match.DIGITS}')
+    ORDER BY slot) AS hs FROM every LEFT JOIN hashes USING (doc_id, kind, slot) GROUP BY ALL),
+j AS (SELECT e.doc_id, e.n, e.edited, a.hs AS own, b.hs AS changed, c.hs AS next
+  FROM e JOIN fp AS a ON a.doc_id = e.doc_id AND a.kind = 'own'
+  JOIN fp AS b ON b.doc_id = e.doc_id AND b.kind = 'edited'
+  JOIN fp AS c ON c.doc_id = e.after AND c.kind = 'own')
+SELECT doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
+  array_to_string(own, '') AS fingerprint, array_to_string(changed, '') AS edited_fingerprint,
+  {_likeness_sql('own', 'changed')} AS near_edited, {_likeness_sql('own', 'next')} AS near_next
+FROM j""",
 }
