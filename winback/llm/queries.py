@@ -16,6 +16,7 @@ from winback.llm import (
     positional_index,
     quality,
     simhash,
+    spelling,
     token_counts,
     token_shards,
     toxicity,
@@ -151,6 +152,11 @@ def op11_i_match(spark: SparkSession, folder: str) -> DataFrame:
     return i_match.against_edits(table(spark, folder, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    counted = spelling.word_counts(table(spark, folder, "documents"), damage=97)
+    return spelling.variants(counted)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -165,6 +171,7 @@ QUERIES: dict[str, Query] = {
         op9_neighbours,
         op10_quality_scores,
         op11_i_match,
+        op12_spelling_variants,
     )
 }
 
