@@ -15,6 +15,7 @@ from winback.llm import (
     packing,
     positional_index,
     quality,
+    ranked_search,
     simhash,
     spelling,
     token_counts,
@@ -157,6 +158,12 @@ def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(counted)
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "ranked-index")
+    ranked_search.build(table(spark, folder, "documents"), path)
+    return ranked_search.search(spark, path, table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -172,6 +179,7 @@ QUERIES: dict[str, Query] = {
         op10_quality_scores,
         op11_i_match,
         op12_spelling_variants,
+        op13_ranked_search,
     )
 }
 
@@ -250,4 +258,18 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
   array_to_string(own, '') AS fingerprint, array_to_string(changed, '') AS edited_fingerprint,
   {_likeness_sql('own', 'changed')} AS near_edited, {_likeness_sql('own', 'next')} AS near_next
 FROM j""",
+    "op13_ranked_search": f"""
+WITH w AS (SELECT doc_id, {_words_sql('text')} AS ws FROM documents),
+c AS (SELECT count(*) FILTER (len(ws) > 0) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM w),
+p AS (SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n, unnest(ws) AS term FROM w) GROUP BY ALL),
+t AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1)))
+    AS BIGINT) AS weight FROM p, c GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest({_words_sql('text')}) AS term FROM benchmark),
+s AS (SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf)
+    // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN t USING (term), c GROUP BY item_id, doc_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank
+  FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""",
 }
