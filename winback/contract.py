@@ -72,7 +72,13 @@ TRANSACTION_COLUMNS = tuple(TRANSACTION_SCHEMA.fieldNames())
 TABLES = {
     "bronze": ("transactions_i", "transactions_ii"),
     "silver": ("transactions",),
-    "gold": ("modeling", "feature_snapshot", "reactivation_scores"),
+    "gold": (
+        "modeling",
+        "feature_snapshot",
+        "reactivation_scores",
+        "customer_state",
+        "customer_seen",
+    ),
     "synthetic": ("transactions", "generation_runs", "full_history"),
     "monitoring": ("summary", "feature_monitoring", "performance"),
     "explainability": ("global_feature_importance", "local_feature_contributions"),

@@ -83,6 +83,9 @@ def append_batch(
         if not stored.isEmpty():
             if not replace:
                 raise ValueError(f"batch {batch_id} is stored already; replace it explicitly")
+    tables.forget_state_of_batch(batch_id)
+    for row in manifest.select("batch_start_date").collect():
+        tables.forget_state(row[0])
     stamped = batch.select(*TRANSACTION_COLUMNS, F.lit(batch_id).alias("batch_id"))
     # One batch is one partition: both writes put it in place of an earlier one as a whole.
     tables.write_replace(stamped, "synthetic", "transactions", "batch_id", batch_id)

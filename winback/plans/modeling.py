@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.contract import OBSERVATION_DAYS, TARGET, Parameters
+from winback.contract import MONTH, OBSERVATION_DAYS, TARGET, Parameters
 from winback.functions.dates import as_date, reference_dates
-from winback.operators import features, metrics, population, registry, splits
+from winback.functions.lines import month
+from winback.operators import carried, features, metrics, population, registry, rounds, splits
 from winback.operators.models import prior_scores
 from winback.operators.monitoring import matured_labels
 from winback.operators.scoring import rule_scores
 from winback.plans import frames
 from winback.plans.catalog import query
 from winback.plans.sql import ROUNDED_METRICS, metric_steps, rounded, with_steps
+from winback.sources.tables import Tables
 
 
 def _rounded(df: DataFrame, names=ROUNDED_METRICS, digits: int = 6) -> DataFrame:
@@ -139,6 +143,19 @@ def features_at_scoring_dates(spark: SparkSession, folder: str) -> DataFrame:
     return frames.round_features(spark, folder)
 
 
+@query("features_carried_forward", with_steps("SELECT * FROM round_features"))
+def features_carried_forward(spark: SparkSession, folder: str) -> DataFrame:
+    """The same features from state carried from round to round over stored silver."""
+    tables = Tables.scratch(spark)
+    tables.write_full(
+        frames.silver(spark, folder).withColumn(MONTH, month()), "silver", "transactions", by=MONTH
+    )
+    history = tables.create_full_history()
+    for day in frames.ROUNDS:
+        rounds.carry_state(tables, history, day)
+    return reduce(DataFrame.unionAll, [carried.features(tables, day) for day in frames.ROUNDS])
+
+
 _WINDOWED = """windowed AS (
   SELECT customer_id, reference_date, min(purchase_date) AS first_purchase_date,
     count(DISTINCT invoice) AS number_orders, CAST(sum(quantity) AS BIGINT) AS total_items,

@@ -138,8 +138,29 @@ class Tables:
         folder, files = self._at(f"{self.path(layer, key)}/{by}={text}")
         files.delete(folder, True)
 
+    def partitions(self, layer: str, key: str, by: str) -> list:
+        """The values of `by` that a table has partitions of, in order."""
+        if not self.exists(layer, key):
+            return []
+        return sorted(row[0] for row in self.read(layer, key).select(by).distinct().collect())
+
+    def forget_state(self, first: date | None = None) -> None:
+        """Drop the customer states that lines from `first` on (all, if None) are part of."""
+        for key, by in (("customer_state", "state_date"), ("customer_seen", "since")):
+            for day in self.partitions("gold", key, by):
+                if first is None or day >= first:
+                    self.drop_partition("gold", key, by, day)
+
+    def forget_state_of_batch(self, batch_id: str) -> None:
+        """Drop the customer states that a stored batch is part of."""
+        if self.exists("synthetic", "generation_runs"):
+            runs = self.read("synthetic", "generation_runs").filter(F.col("batch_id") == batch_id)
+            for row in runs.select("batch_start_date").collect():
+                self.forget_state(row[0])
+
     def delete_batch(self, batch_id: str) -> None:
-        """Remove one recurring batch and its manifest row."""
+        """Remove one recurring batch, its manifest row and the customer states it is part of."""
+        self.forget_state_of_batch(batch_id)
         for key in ("transactions", "generation_runs"):
             if self.exists("synthetic", key):
                 self.drop_partition("synthetic", key, "batch_id", batch_id)
