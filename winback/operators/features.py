@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date, timedelta
+from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winback.contract import FEATURES, INACTIVE_DAYS, OBSERVATION_DAYS, TARGET, Parameters
-from winback.functions.dates import as_date, date_at, first_index_from, last_index_until
+from winback.functions.dates import as_date
 from winback.operators.population import COUNTED, as_of, eligible, slot_changes, with_target
+from winback.operators.sliding import window_states
 
 BASE_COLUMNS = (
     "customer_id",
@@ -55,93 +56,51 @@ def modeling_base(
     With `params.observation_days`, features see only that many days up to the date
     (both ends included) and are NULL where the customer bought nothing in them.
     """
-    windowed = params.observation_days is not None
-    # With a window only the population comes from the whole history, not the counts.
-    counted = {} if windowed else COUNTED
-    changes = slot_changes(lines, dates, counted, look_ahead=params.prediction_days)
-    base = (
-        as_of(changes, dates, tuple(counted.values()))
+    if params.observation_days is not None:
+        states = window_states(
+            lines, dates, params.observation_days, COUNTED, look_ahead=params.prediction_days
+        )
+        return (
+            states.transform(eligible, params.inactive_days)
+            .transform(with_target, params.prediction_days)
+            .transform(_recent, COUNTED)
+            .transform(with_ratios)
+            .select(*BASE_COLUMNS)
+        )
+    changes = slot_changes(lines, dates, look_ahead=params.prediction_days)
+    return (
+        as_of(changes, dates)
         .transform(eligible, params.inactive_days)
         .transform(with_target, params.prediction_days)
+        .transform(with_ratios)
+        .select(*BASE_COLUMNS)
     )
-    if not windowed:
-        return base.transform(with_ratios).select(*BASE_COLUMNS)
-    keys = base.select(
-        "customer_id", "reference_date", "last_purchase_date", "inactive_days", TARGET
-    )
-    recent = windowed_features(lines, dates, params.observation_days)
-    return keys.join(recent, ["customer_id", "reference_date"], "left").select(*BASE_COLUMNS)
+
+
+def _recent(states: DataFrame, counted: Mapping[str, str]) -> DataFrame:
+    """The window's columns in the place of those of the whole history."""
+    names = ["first_purchase_date", "total_items", "total_spent", *counted.values()]
+    return states.drop(*names).withColumnsRenamed({f"recent_{name}": name for name in names})
 
 
 def windowed_totals(
     lines: DataFrame,
     dates: Sequence[date],
     days: int = OBSERVATION_DAYS,
-    counted: dict[str, str] = COUNTED,
+    counted: Mapping[str, str] = COUNTED,
 ) -> DataFrame:
-    """Counts and sums over [reference date - days, reference date].
-
-    Lines that enter and leave the window at the same dates are merged first; only the
-    merged rows are copied to the dates they count for.
-    """
-    dates = sorted(as_date(d) for d in dates)
-    entered = first_index_from("purchase_date", dates)
-    left = last_index_until(f"date_add(purchase_date, {days})", dates)
-    earliest = dates[0] - timedelta(days=days)
-    slotted = (
-        lines.filter(F.col("purchase_date").between(F.lit(earliest), F.lit(dates[-1])))
-        .select(
-            "customer_id",
-            entered.alias("_from"),
-            left.alias("_to"),
-            "purchase_date",
-            F.col("quantity").alias("items"),
-            F.col("total_amount").alias("spent"),
-            *counted,
-        )
-        .filter(F.col("_from") <= F.col("_to"))
-        .withColumn("_span", F.lit(""))
-    )
-    kept = ["customer_id", "_from", "_to", "purchase_date", "items", "spent"]
-    per_span = F.col("kind") == "_span"
-    merged = (
-        slotted.unpivot(kept, [*counted, "_span"], "kind", "value")
-        .filter(F.col("value").isNotNull())
-        .groupBy("customer_id", "kind", "value", "_from", "_to")
-        .agg(
-            F.sum(F.when(per_span, F.col("items"))).alias("items"),
-            F.sum(F.when(per_span, F.col("spent"))).alias("spent"),
-            F.min(F.when(per_span, F.col("purchase_date"))).alias("first_day"),
-        )
-    )
-    seen = (
-        merged.withColumn("_at", F.explode(F.sequence("_from", "_to")))
-        .groupBy("customer_id", "_at", "kind", "value")
-        .agg(
-            F.sum("items").alias("items"),
-            F.sum("spent").alias("spent"),
-            F.min("first_day").alias("first_day"),
-        )
-    )
-    return (
-        seen.groupBy("customer_id", "_at")
-        .agg(
-            F.min("first_day").alias("first_purchase_date"),
-            F.sum("items").alias("total_items"),
-            F.sum("spent").alias("total_spent"),
-            *[F.count_if(F.col("kind") == name).alias(count) for name, count in counted.items()],
-        )
-        .withColumn("reference_date", date_at(F.col("_at"), dates))
-        .drop("_at")
+    """Counts and sums over [reference date - days, reference date], where it has lines."""
+    states = window_states(lines, dates, days, counted).transform(_recent, counted)
+    return states.filter(F.col("first_purchase_date").isNotNull()).select(
+        "customer_id",
+        "reference_date",
+        "first_purchase_date",
+        "total_items",
+        "total_spent",
+        *counted.values(),
     )
 
 
-def windowed_features(
-    lines: DataFrame, dates: Sequence[date], days: int = OBSERVATION_DAYS
-) -> DataFrame:
-    return windowed_totals(lines, dates, days).transform(with_ratios)
-
-
 def scoring_features(
     lines: DataFrame, dates: Sequence[date | str], inactive_days: int = INACTIVE_DAYS
 ) -> DataFrame:
@@ -167,30 +126,18 @@ def extra_features(
     lines: DataFrame, dates: Sequence[date], days: int = OBSERVATION_DAYS
 ) -> DataFrame:
     """Active days, mean gap between them, and recent against whole spend."""
-    dates = sorted(as_date(d) for d in dates)
-    counted = {"purchase_day": "active_days"}
     daily = lines.withColumn("purchase_day", F.col("purchase_date"))
-    whole = (
-        as_of(slot_changes(daily, dates, counted), dates, ("active_days",))
-        .transform(eligible)
+    states = window_states(daily, dates, days, recent={}, ever={"purchase_day": "active_days"})
+    gap = F.datediff("last_purchase_date", "first_purchase_date")
+    return (
+        states.transform(eligible)
         .select(
             "customer_id",
             "reference_date",
             "active_days",
-            (
-                F.datediff("last_purchase_date", "first_purchase_date")
-                / F.nullif(F.col("active_days") - 1, F.lit(0))
-            ).alias("mean_days_between_purchases"),
+            (gap / F.nullif(F.col("active_days") - 1, F.lit(0))).alias("mean_days_between_purchases"),
             F.col("total_spent").cast("double").alias("total_spent"),
+            F.coalesce(F.col("recent_total_spent").cast("double"), F.lit(0.0)).alias("recent_spent"),
         )
-    )
-    recent = windowed_totals(lines, dates, days, counted={}).select(
-        "customer_id",
-        "reference_date",
-        F.col("total_spent").cast("double").alias("recent_spent"),
-    )
-    joined = whole.join(recent, ["customer_id", "reference_date"], "left")
-    spent = F.coalesce("recent_spent", F.lit(0.0))
-    return joined.withColumn("recent_spent", spent).withColumn(
-        "recent_spend_share", F.try_divide("recent_spent", "total_spent")
+        .withColumn("recent_spend_share", F.try_divide("recent_spent", "total_spent"))
     )
