@@ -1,8 +1,8 @@
 """The training-text pipeline: stages over `documents`, each written and read again.
 
-Every stage but the last returns the columns it was given. Decisions are made per row, by a
-key of its own that a stage stores first: rows without an id are judged like any other, and
-so is each of several rows with one id.
+Every stage but the last returns the columns it was given. Decisions are made per row, named
+by its place in the stored files: rows without an id are judged like any other, and so is each
+of several rows with one id. Texts are never exchanged: rows go by bitmaps of their places.
 """
 
 from __future__ import annotations
@@ -20,49 +20,45 @@ from winback.llm.queries import (
     table,
     toxicity_model,
 )
+from winback.llm.rows import free_name, with_row_key, without_rows
 from winback.session import materialise, new_folder
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of quality: those the classifier accepts."""
-    scored = quality.with_score(docs, quality_model(spark, docs, sf_dir), "_quality")
-    return scored.filter(F.col("_quality") >= QUALITY_CUT).drop("_quality")
+    name = free_name(docs, "_quality")
+    scored = quality.with_score(docs, quality_model(spark, docs, sf_dir), name)
+    return scored.filter(F.col(name) >= QUALITY_CUT).select(*[f"`{c}`" for c in docs.columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the random field does not find toxic."""
-    scored = toxicity.with_score(docs, toxicity_model(spark, docs, sf_dir), "_toxicity")
-    return scored.filter(F.col("_toxicity") < TOXIC_CUT).drop("_toxicity")
-
-
-def with_key(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The documents, stored with a number of each row, and the name of that column."""
-    key = "_key"
-    while key in (name.lower() for name in docs.columns):
-        key += "_"
-    return materialise(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
+    name = free_name(docs, "_toxicity")
+    scored = toxicity.with_score(docs, toxicity_model(spark, docs, sf_dir), name)
+    return scored.filter(F.col(name) < TOXIC_CUT).select(*[f"`{c}`" for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of linked fingerprints: the one with the smallest id (none is
-    larger than any), of several the one with the smallest key."""
-    keyed, key = with_key(docs)
-    found = simhash.near_duplicates(keyed, id_column=key).withColumnRenamed("doc_id", key)
+    larger than any), of several the one that stands first in the stored files."""
+    keyed = with_row_key(docs)
+    key = keyed.key
+    found = simhash.near_duplicates(keyed.frame, id_column=key).withColumnRenamed("doc_id", key)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", key)
-    ids = keyed.select(key, "doc_id").join(found.select(key, "component_id"), key)
-    kept = ids.groupBy("component_id").agg(F.min(order)[key].alias(key)).select(key)
-    return keyed.join(materialise(kept, "kept"), key, "left_semi").drop(key)
+    ids = keyed.frame.select(key, "doc_id").join(found.select(key, "component_id"), key)
+    ids = materialise(ids, "components")
+    kept = ids.groupBy("component_id").agg(F.min(order)[key].alias(key))
+    return without_rows(keyed, ids.select(key).join(kept.select(key), key, "left_anti"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth is inside a benchmark window."""
-    keyed, key = with_key(docs)
+    keyed = with_row_key(docs)
     path = new_folder(spark, "positional-index")
-    positional_index.build(keyed, path, id_column=key)
+    positional_index.build(keyed.frame, path, id_column=keyed.key)
     found = positional_index.search(spark, path, table(spark, sf_dir, "benchmark"), unnamed=True)
     hit = positional_index.contamination(found).filter("contaminated")
-    hit = materialise(hit.select(F.col("doc_id").alias(key)), "contaminated")
-    return keyed.join(hit, key, "left_anti").drop(key)
+    return without_rows(keyed, hit.select(F.col("doc_id").alias(keyed.key)))
 
 
 def pack_best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
