@@ -10,10 +10,11 @@ three rarest are its prefix, and dynamic programming picks the two of them that
 and are rarest in all: its pivots. One edit touches one of two disjoint grams at most, so a
 pivot of the word whose prefix ends rarer stands in the other word as well, and within its
 prefix. Position limits: left or right of that pivot nothing changed, so there the words are
-alike and the pivot is equally far from that end, while lengths differ by one at most. Pivots
-are therefore joined with prefix grams on gram, side, distance from that end, what stands
-there and length, and every candidate is verified by its edit distance. An index entry is a
-word, so each pair is found in the join's partitions and no group is gathered.
+alike and the pivot is equally far from that end, while lengths differ by one at most; and of
+the other side, the first or the last half is unchanged. Pivots are therefore joined with
+prefix grams on gram, distance from the unchanged end, what stands there, the unchanged half
+and length, which leaves few candidates however many words share a gram, and every candidate
+is verified by its edit distance. Pairs are found in the join; no group is gathered.
 
 `variants` names the form of each word, its near word with the most occurrences if they are
 `ratio` times its own, and the root, where following forms ends. Forms grow on every step, so
@@ -203,14 +204,52 @@ def _choose(places: np.ndarray, costs: np.ndarray, pivots: int = PIVOTS) -> np.n
     return out
 
 
-def _running(characters: np.ndarray) -> np.ndarray:
-    """A hash of the first 0, 1, ... characters of each row."""
-    k, length = characters.shape
-    out = np.zeros((k, length + 1), np.uint64)
+class _Hashes:
+    """Hashes of any stretch of each row's characters, equal for equal stretches."""
+
+    def __init__(self, characters: np.ndarray):
+        k, length = characters.shape
+        self.upto = np.zeros((k, length + 1), np.uint64)
+        self.power = np.ones(length + 1, np.uint64)
+        base = np.uint64(0x9E3779B97F4A7C15)
+        with np.errstate(over="ignore"):
+            for i in range(length):
+                self.upto[:, i + 1] = (self.upto[:, i] + characters[:, i] + np.uint64(1)) * base
+                self.power[i + 1] = self.power[i] * base
+
+    def of(self, row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return self.upto[row, stop] - self.upto[row, start] * self.power[stop - start]
+
+
+def _mixed(*values: np.ndarray | int) -> np.ndarray:
+    """One key of several numbers."""
+    out = np.uint64(0)
     with np.errstate(over="ignore"):
-        for i in range(length):
-            out[:, i + 1] = (out[:, i] + characters[:, i] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    return out
+        for value in values:
+            out = (out ^ np.asarray(value).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+            out = out ^ (out >> np.uint64(32))
+    return out.view(np.int64)
+
+
+def _keys(grams: np.ndarray, hashes: _Hashes, row: np.ndarray, place: np.ndarray, other: int):
+    """Keys of grams at places of rows, as a near word of length `other` has them, and which
+    of `row` each belongs to. For either side of the gram that can be unchanged, the near word
+    has the same there; of its other side, with one edit, the first or the last half is the
+    same. A half's size is the near word's, so that its own keys (`other` its length) agree."""
+    length = grams.shape[1] + 1
+    gram = grams[row, place]
+    for side, unchanged in enumerate(((0 * place, place), (place + GRAM, 0 * place + length))):
+        context = hashes.of(row, *unchanged)
+        distance = unchanged[1] - unchanged[0]
+        first, stop = (place + GRAM, 0 * place + length) if side == 0 else (0 * place, place)
+        changed = other - GRAM - distance
+        for half in range(2):
+            size = changed // 2 if half == 0 else changed - changed // 2
+            begin, end = (first, first + size) if half == 0 else (stop - size, stop)
+            fits = np.flatnonzero((changed >= 0) & (begin >= first) & (end <= stop))
+            part = hashes.of(row[fits], begin[fits], end[fits])
+            yield fits, _mixed(gram[fits], 2 * side + half, distance[fits], other, context[fits], part)
 
 
 _ENTRIES = "pivot boolean, key long, last int, word string, n long"
@@ -231,41 +270,28 @@ def _entries(ranks: np.ndarray):
         last = cost[row, by_cost[:, min(PREFIX, length - 1) - 1]]
         prefix = np.sort(by_cost[:, :PREFIX], axis=1)
         pivots = _choose(prefix, np.take_along_axis(cost, prefix, axis=1))
-        left, right = _running(characters), _running(characters[:, ::-1])
-
-        def keys(of: np.ndarray, place: np.ndarray, other: int) -> np.ndarray:
-            """A key for an unchanged left and one for an unchanged right side."""
-            gram = grams[of, place].astype(np.uint64)
-            with np.errstate(over="ignore"):
-                mixed = [
-                    (side[of, at] ^ (np.uint64(2 * at_side + 1) << np.uint64(32)) ^ (gram << np.uint64(40)))
-                    + at.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-                    + np.uint64(other) * np.uint64(0xA24BAED4963EE407)
-                    for at_side, (side, at) in enumerate(
-                        ((left, place), (right, length - GRAM - place))
-                    )
-                ]
-                return np.concatenate([m ^ (m >> np.uint64(29)) for m in mixed]).view(np.int64)
-
-        def batch(pivot: bool, of: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
-            taken = words_of.take(pa.array(np.tile(of, len(key) // max(len(of), 1))))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(key), pivot)),
-                    pa.array(key),
-                    pa.array(np.tile(last[of], len(key) // max(len(of), 1)), pa.int32()),
-                    taken.column("word"),
-                    taken.column("n"),
-                ],
-                names=["pivot", "key", "last", "word", "n"],
-            )
+        hashes = _Hashes(characters)
+
+        def batches_of(pivot: bool, of: np.ndarray, place: np.ndarray, other: int):
+            for fits, key in _keys(grams, hashes, of, place, other):
+                taken = words_of.take(pa.array(of[fits]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(key), pivot)),
+                        pa.array(key),
+                        pa.array(last[of[fits]], pa.int32()),
+                        taken.column("word"),
+                        taken.column("n"),
+                    ],
+                    names=["pivot", "key", "last", "word", "n"],
+                )
 
         # All places of a gram that ends the prefix belong to it.
         of, place = np.nonzero(cost <= last[:, None])
-        yield batch(False, of, keys(of, place, length))
+        yield from batches_of(False, of, place, length)
         of, place = np.repeat(row, PIVOTS), pivots.ravel()
         for other in (length - 1, length, length + 1):
-            yield batch(True, of, keys(of, place, other))
+            yield from batches_of(True, of, place, other)
 
     return entries
 
