@@ -5,8 +5,8 @@ characters outside ASCII. The lexicon holds the terms whose inverse document fre
 in a band: words that stand everywhere say nothing, and words that stand nearly nowhere are
 mostly errors. The fingerprint hashes a document's sorted lexicon terms, once all of them and
 once for each of several randomised subsets of the lexicon. There are `FAMILIES` families of
-subsets; those of a family keep each term with a chance of 1/4, 1/8, ... 1/1024, by two bytes of
-the term's SHA-256. Equal term sets give equal hashes, and the fewer terms a subset keeps, the
+subsets; those of a family keep each term with a chance of 1/8, 1/32, 1/128 or 1/512, by two
+bytes of the term's SHA-256. Equal term sets give equal hashes, and the fewer terms a subset keeps, the
 more edits its hash survives, so the share of agreeing hashes falls gradually.
 
 All of it is built-in functions on the JVM. Counting terms is one aggregation that combines
@@ -16,7 +16,7 @@ a document, whatever the size of the corpus. Up to `HELD` terms it enters as one
 of buckets in which a document's terms are looked up, and documents are not exchanged at all;
 beyond, terms and lexicon are joined.
 
-Null and empty texts and texts without a term get a fingerprint of zeros. A text whose terms
+Null and empty texts and texts without a term have the hash of nothing everywhere. A text whose terms
 all lie outside the lexicon is hashed by all of its terms in the place of the whole lexicon:
 it is like texts of the same terms only. Equal texts, repeated rows and rows of equal or null
 id keep a row each, and an empty table gives no row.
@@ -24,6 +24,8 @@ id keep a row each, and an empty table gives no row.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,23 +38,26 @@ from winback.session import materialise
 MOST = 10
 LEAST = 1000
 FAMILIES = 8
-HALVINGS = range(2, 11)
+HALVINGS = (3, 5, 7, 9)
 # Terms of a lexicon that enters as a value, some 30 MB.
 HELD = 500_000
 # Hexadecimal digits of a hash.
 DIGITS = 4
 
-_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What stands between terms once A-Z are lowered.
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _HASHES = 1 + FAMILIES * len(HALVINGS)
-_NOTHING = "0" * DIGITS
+# The hash of no term.
+NOTHING = hashlib.md5(b"").hexdigest()[:DIGITS]
 _DRAWS = [f"draw{family}" for family in range(FAMILIES)]
 
 
 def terms(text: Column) -> Column:
     """The distinct terms of a text; none of a null."""
     lowered = F.translate(F.coalesce(text.cast("string"), F.lit("")), _CAPITALS, _CAPITALS.lower())
-    return F.array_distinct(F.regexp_extract_all(lowered, F.lit(_TERM), F.lit(0)))
+    # Extracting all matches takes time with the square of a text's length, splitting does not.
+    return F.array_remove(F.array_distinct(F.split(lowered, _BETWEEN)), "")
 
 
 def lexicon(
@@ -90,8 +95,10 @@ def _held(terms_of_band: DataFrame, buckets: int) -> Column:
 
 
 def _in_lexicon(rows: DataFrame, key: str, text: str, band: DataFrame, held: int) -> DataFrame:
-    """The rows with a column `found`, their sorted terms of the lexicon."""
+    """The rows with a column `found`: `every` term of the text, sorted, and of those the
+    entries that the `lexicon` has."""
     size = band.count()
+    every = F.array_sort(terms(F.col(text)))
     if size <= held:
         buckets = max(16, 2 * size)
 
@@ -99,39 +106,46 @@ def _in_lexicon(rows: DataFrame, key: str, text: str, band: DataFrame, held: int
             held_there = F.get(F.col("table"), _bucket(term, buckets))
             return F.get(F.filter(held_there, lambda e: e["term"] == term), F.lit(0))
 
-        # The value is read where it is used: the optimiser merges the two steps, so that no
-        # row carries it.
-        looked_up = F.filter(F.transform(terms(F.col(text)), entry), lambda e: e.isNotNull())
+        def both(sorted_terms: Column) -> Column:
+            inside = F.filter(F.transform(sorted_terms, entry), lambda e: e.isNotNull())
+            return F.struct(sorted_terms.alias("every"), inside.alias("lexicon"))
+
+        # The value must be read where it is used, or every row would carry it. The optimiser
+        # merges the two steps as long as nothing that is computed is used twice in the
+        # second one; so the terms are bound to a name, as the only element of an array.
+        looked_up = F.get(F.transform(F.array(every), both), F.lit(0))
         with_table = rows.withColumn("table", _held(band, buckets))
-        return with_table.withColumn("found", F.array_sort(looked_up)).drop("table")
+        return with_table.withColumn("found", looked_up).drop("table")
     each = rows.select(key, F.explode(terms(F.col(text))).alias("term")).join(band, "term")
-    found = each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term", *_DRAWS))).alias("found"))
-    nothing = F.array().cast(found.schema["found"].dataType)
-    return rows.join(found, key, "left").withColumn("found", F.coalesce("found", nothing))
+    found = each.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("term", *_DRAWS))).alias("lexicon")
+    )
+    nothing = F.array().cast(found.schema["lexicon"].dataType)
+    inside = F.coalesce("lexicon", nothing).alias("lexicon")
+    joined = rows.join(found, key, "left")
+    return joined.withColumn("found", F.struct(every.alias("every"), inside)).drop("lexicon")
 
 
 def _hash(chosen: Column) -> Column:
-    return F.when(F.size(chosen) == 0, _NOTHING).otherwise(
-        F.substring(F.md5(F.array_join(chosen, " ").cast("binary")), 1, DIGITS)
-    )
+    return F.substring(F.md5(F.array_join(chosen, " ").cast("binary")), 1, DIGITS)
 
 
 def with_fingerprint(
     rows: DataFrame, key: str, text: str, band: DataFrame, name: str, held: int = HELD
 ) -> DataFrame:
-    """The rows with the fingerprint of a text as a further column. `key` names each row."""
+    """The rows with the fingerprint of a text, an array of hashes, as a further column. `key`
+    names each row."""
 
-    def drawn(entries: str, draw: str, halving: int) -> Column:
+    def drawn(entries: str | Column, draw: str, halving: int) -> Column:
         return F.filter(entries, lambda e: e[draw] < (1 << 16 >> halving))
 
-    whole = F.when(F.size("found") > 0, F.col("found")["term"]).otherwise(
-        F.array_sort(terms(F.col(text)))
-    )
+    inside = F.col("found")["lexicon"]
+    whole = F.when(F.size(inside) > 0, inside["term"]).otherwise(F.col("found")["every"])
     found = _in_lexicon(rows, key, text, band, held)
     # The largest subset of each family, of which the others are subsets.
-    largest = {draw: drawn("found", draw, HALVINGS[0]) for draw in _DRAWS}
+    largest = {draw: drawn(inside, draw, HALVINGS[0]) for draw in _DRAWS}
     subsets = [_hash(drawn(draw, draw, halving)["term"]) for draw in _DRAWS for halving in HALVINGS]
-    hashed = found.withColumns(largest).withColumn(name, F.concat(_hash(whole), *subsets))
+    hashed = found.withColumns(largest).withColumn(name, F.array(_hash(whole), *subsets))
     return hashed.drop("found", *_DRAWS)
 
 
@@ -139,15 +153,10 @@ def likeness(left: Column, right: Column) -> Column:
     """The share of agreeing hashes among those that one of two fingerprints has; 1 if
     neither has any."""
 
-    def part(fingerprint: Column, i: Column) -> Column:
-        return F.substring(fingerprint, i * DIGITS + 1, F.lit(DIGITS))
-
-    places = F.filter(
-        F.sequence(F.lit(0), F.lit(_HASHES - 1)),
-        lambda i: (part(left, i) != _NOTHING) | (part(right, i) != _NOTHING),
-    )
-    agreeing = F.filter(places, lambda i: part(left, i) == part(right, i))
-    return F.when(F.size(places) == 0, 1.0).otherwise(F.size(agreeing) / F.size(places))
+    alike = F.size(F.filter(F.zip_with(left, right, lambda a, b: a == b), lambda same: same))
+    both = F.zip_with(left, right, lambda a, b: (a == NOTHING) & (b == NOTHING))
+    neither = F.size(F.filter(both, lambda nothing: nothing))
+    return F.when(neither == _HASHES, 1.0).otherwise((alike - neither) / (_HASHES - neither))
 
 
 def followers(documents: DataFrame, key: str, id_column: str, text_column: str) -> DataFrame:
@@ -186,26 +195,28 @@ def against_edits(
     places = followers(keyed.frame, keyed.key, id_column, text_column)
     texts = keyed.frame.select(
         F.col(keyed.key).alias("key"),
-        F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
+        F.col(text_column).cast("string").alias("text"),
     )
     texts = with_fingerprint(texts, "key", "text", band, "fingerprint", held)
-    half = F.floor(F.col("n_chars") / 2).cast("int")
+    text, half = F.coalesce("text", F.lit("")), F.floor(F.col("n_chars") / 2).cast("int")
     given = texts.join(places.withColumnRenamed("key", "to"), F.col("key") == F.col("next")).select(
         F.col("to").alias("key"),
         "doc_id",
         "n_chars",
-        F.substring("text", F.lit(1), half).alias("tail"),
+        F.substring(text, F.lit(1), half).alias("tail"),
         F.col("fingerprint").alias("next_fingerprint"),
     )
-    rest = F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int"))
-    edits = texts.join(given, "key").withColumn("edited", F.concat(rest, F.col("tail"))).drop("text", "tail")
+    edited = F.concat(F.substring(text, F.lit(1), (F.col("n_chars") - half).cast("int")), F.col("tail"))
+    digest = F.sha2(edited.cast("binary"), 256)
+    edits = texts.join(given, "key").withColumns({"edited": edited, "edited_sha256": digest})
+    edits = edits.drop("text", "tail")
     edits = with_fingerprint(edits, "key", "edited", band, "edited_fingerprint", held)
     return edits.select(
         "doc_id",
         "n_chars",
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        "fingerprint",
-        "edited_fingerprint",
+        "edited_sha256",
+        F.array_join("fingerprint", "").alias("fingerprint"),
+        F.array_join("edited_fingerprint", "").alias("edited_fingerprint"),
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
     )

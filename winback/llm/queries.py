@@ -192,7 +192,7 @@ def _words_sql(text: str) -> str:
 
 
 def _likeness_sql(left: str, right: str) -> str:
-    nothing = "0" * i_match.DIGITS
+    nothing = i_match.NOTHING
     pairs = f"list_filter(list_zip({left}, {right}), lambda x: x[1] != '{nothing}' OR x[2] != '{nothing}')"
     return (
         f"CASE WHEN len({pairs}) = 0 THEN 1.0 "
@@ -238,9 +238,8 @@ f AS (SELECT u.* FROM u JOIN lexicon USING (term)),
 whole AS (SELECT doc_id, kind, string_agg(term, ' ' ORDER BY term) AS w FROM f GROUP BY ALL),
 outside AS (SELECT doc_id, kind, string_agg(term, ' ' ORDER BY term) AS w
   FROM u ANTI JOIN whole USING (doc_id, kind) GROUP BY ALL),
-grid AS (SELECT j, h, j * {len(i_match.HALVINGS)} + h - {i_match.HALVINGS[0]} AS slot
-  FROM range({i_match.FAMILIES}) AS a(j),
-    range({i_match.HALVINGS.start}, {i_match.HALVINGS.stop}) AS b(h)),
+grid AS (SELECT j, h, j * 100 + h AS slot
+  FROM range({i_match.FAMILIES}) AS a(j), (SELECT unnest({list(i_match.HALVINGS)}) AS h)),
 drawn AS (SELECT term, j, CAST('0x' || substr(sha256(term), 4 * j + 1, 4) AS BIGINT) AS draw
   FROM lexicon, range({i_match.FAMILIES}) AS a(j)),
 subsets AS (SELECT doc_id, kind, slot, string_agg(term, ' ' ORDER BY term) AS w
@@ -248,7 +247,7 @@ subsets AS (SELECT doc_id, kind, slot, string_agg(term, ' ' ORDER BY term) AS w
 hashes AS (SELECT doc_id, kind, -1 AS slot, w FROM whole UNION ALL SELECT doc_id, kind, -1, w FROM outside
   UNION ALL SELECT doc_id, kind, slot, w FROM subsets),
 every AS (SELECT doc_id, kind, slot FROM t, (SELECT -1 AS slot UNION ALL SELECT slot FROM grid)),
-fp AS (SELECT doc_id, kind, list(coalesce(substr(md5(w), 1, {i_match.DIGITS}), '{'0' * i_match.DIGITS}')
+fp AS (SELECT doc_id, kind, list(coalesce(substr(md5(w), 1, {i_match.DIGITS}), '{i_match.NOTHING}')
     ORDER BY slot) AS hs FROM every LEFT JOIN hashes USING (doc_id, kind, slot) GROUP BY ALL),
 j AS (SELECT e.doc_id, e.n, e.edited, a.hs AS own, b.hs AS changed, c.hs AS next
   FROM e JOIN fp AS a ON a.doc_id = e.doc_id AND a.kind = 'own'
