@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from tokenizers import Tokenizer
 from winback.llm.texts import Flat, binary_array, byte_set, flatten, gather, hash_bytes
 
 # Distinct pieces remembered between batches of one worker.
-REMEMBERED = 1_000_000
+REMEMBERED = 2_000_000
 
 _VISIBLE = byte_set((0x21, 0x7E))
 # A byte that surely starts something other than white space: visible ASCII, or the lead
@@ -146,12 +147,12 @@ class Encoder:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in encoded]
 
-    def _joined(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _joined(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and lengths of pieces that do not hold the separator."""
-        join, found, lengths = self.separator.join, [], []
-        for at in range(0, len(texts), JOINED):
-            some = texts[at : at + JOINED]
-            ids = self._plain([join(some)])[0]
+        join, found, lengths = self.separator.encode().join, [], []
+        for at in range(0, len(pieces), JOINED):
+            some = pieces[at : at + JOINED]
+            ids = self._plain([join(some).decode()])[0]
             edges = np.flatnonzero(ids == self.separator_id)
             if len(edges) != len(some) - 1:
                 raise ValueError("the separator does not encode to an id of its own")
@@ -163,19 +164,19 @@ class Encoder:
         """Ids of new pieces, and where each piece's ids start and how many they are."""
         mark = self.separator.strip(" ").encode() if self.cuts else b""
         plain = _PLAIN.fullmatch
-        together = [p for p in pieces if mark and plain(p) and mark not in p]
-        joined = set(together)
-        alone = [p for p in pieces if p not in joined]
+        apart = np.fromiter(
+            (not mark or mark in p or plain(p) is None for p in pieces), bool, len(pieces)
+        )
+        alone, together = list(compress(pieces, apart)), list(compress(pieces, ~apart))
         texts = self._plain([p.decode("utf-8", "replace") for p in alone]) if alone else []
         ids, lengths = [*texts], [np.fromiter(map(len, texts), np.int64, len(texts))]
         if together:
-            more = self._joined([p.decode("utf-8", "replace") for p in together])
+            more = self._joined(together)
             ids.append(more[0])
             lengths.append(more[1])
         # Back in the order of the pieces.
         length, ids = np.concatenate(lengths), np.concatenate(ids)
         starts = np.cumsum(length) - length
-        apart = np.array([p not in joined for p in pieces])
         order = np.empty(len(pieces), np.int64)
         order[apart] = np.arange(len(alone))
         order[~apart] = len(alone) + np.arange(len(together))
