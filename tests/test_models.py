@@ -156,11 +156,13 @@ def test_search_is_seeded_and_within_range(sample):
     assert all(200 <= d["maxIter"] <= 800 and d["maxIter"] % 50 == 0 for d in drawn)
     assert all(2 <= d["maxDepth"] <= 6 and 0.01 <= d["stepSize"] <= 0.2 for d in drawn)
     assert all(0.6 <= d["subsamplingRate"] <= 1 for d in drawn)
+    assert all(1e-4 <= d["l1"] <= 5 and 0.01 <= d["l2"] <= 20 for d in drawn)
+    assert len(search.SPACE) == 8
     assert search.draw_settings(random.Random(3)) == drawn[3]
     space = {**search.SPACE, "maxIter": search.steps(2, 4, 1), "maxDepth": search.steps(2, 2, 1)}
     df, _, _ = sample
-    found = search.search(df, trials=2, parallelism=2, space=space)
-    again = search.search(df, trials=2, parallelism=1, space=space)
+    found = search.search(df, trials=2, together=2, space=space)
+    again = search.search(df, trials=2, together=1, space=space)
     assert found == again and search.best_trial(found) in found
 
 

@@ -6,15 +6,14 @@ import math
 import random
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winback.contract import RANDOM_SEED
+from winback.operators.boosting import TOGETHER, fit_many
 from winback.operators.metrics import evaluate
-from winback.operators.models import fit_boosted, predict
+from winback.operators.models import predict
 from winback.operators.splits import positive_weight
 from winback.session import materialise
 
@@ -32,31 +31,26 @@ def log_uniform(low: float, high: float) -> Draw:
     return lambda rng: math.exp(rng.uniform(math.log(low), math.log(high)))
 
 
-# Ranges searched. Spark's trees have no L1/L2 penalty; the gain a split
-# must reach stands in for both.
+# The eight ranges searched.
 SPACE: Mapping[str, Draw] = {
     "maxIter": steps(200, 800, 50),
     "maxDepth": steps(2, 6, 1),
     "stepSize": log_uniform(0.01, 0.20),
-    "minInstancesPerNode": steps(1, 12, 1),
+    "minChildWeight": steps(1, 12, 1),
     "subsamplingRate": steps(0.60, 1.00, 0.05),
-    "featureSubsetStrategy": steps(0.60, 1.00, 0.05),
-    "minInfoGain": log_uniform(1e-8, 1e-3),
+    "featureShare": steps(0.60, 1.00, 0.05),
+    "l1": log_uniform(1e-4, 5.0),
+    "l2": log_uniform(0.01, 20.0),
 }
-_WHOLE = ("maxIter", "maxDepth", "minInstancesPerNode")
+_WHOLE = ("maxIter", "maxDepth", "minChildWeight")
+_SHARES = ("subsamplingRate", "featureShare")
 
 
 def draw_settings(rng: random.Random, space: Mapping[str, Draw] = SPACE) -> dict:
     drawn = {name: draw(rng) for name, draw in space.items()}
-    for name in _WHOLE:
-        if name in drawn:
-            drawn[name] = int(drawn[name])
-    if "subsamplingRate" in drawn:
-        drawn["subsamplingRate"] = round(drawn["subsamplingRate"], 2)
-    if "featureSubsetStrategy" in drawn:
-        share = round(drawn["featureSubsetStrategy"], 2)
-        drawn["featureSubsetStrategy"] = "all" if share >= 1 else str(share)
-    return drawn
+    whole = {name: int(drawn[name]) for name in _WHOLE if name in drawn}
+    shares = {name: round(drawn[name], 2) for name in _SHARES if name in drawn}
+    return {**drawn, **whole, **shares}
 
 
 @dataclass(frozen=True)
@@ -69,14 +63,13 @@ class Trial:
 def search(
     split: DataFrame,
     trials: int = TRIALS,
-    parallelism: int = 4,
+    together: int = TOGETHER,
     seed: int = RANDOM_SEED,
     space: Mapping[str, Draw] = SPACE,
 ) -> list[Trial]:
     """Trials in order of their number; each fits on train and is judged on valid.
 
-    Fits are distributed; the driver only keeps several of them going at once. The rows
-    are written once so that no trial recomputes them.
+    Rows are binned once and `together` trials grow in the same passes over them.
     """
     stored = materialise(split, "search")
     train = stored.filter(F.col("split") == "train")
@@ -84,14 +77,11 @@ def search(
     weight = positive_weight(train)
     rng = random.Random(seed)
     drawn = [draw_settings(rng, space) for _ in range(trials)]
-
-    def run(number: int) -> Trial:
-        model = fit_boosted(train, weight, seed=seed, **drawn[number])
-        found = evaluate(predict(model, valid)).select("pr_auc").first()
-        return Trial(number, drawn[number], found["pr_auc"])
-
-    with ThreadPool(min(parallelism, max(trials, 1))) as pool:
-        return pool.map(inheritable_thread_target(split.sparkSession)(run), range(trials))
+    models = fit_many(train, drawn, weight, seed, together=together)
+    return [
+        Trial(number, drawn[number], evaluate(predict(model, valid)).select("pr_auc").first()[0])
+        for number, model in enumerate(models)
+    ]
 
 
 def best_trial(found: list[Trial]) -> Trial:
