@@ -1,8 +1,10 @@
 """URL verdicts: splitting and rules against plain Python, the model on held-out hosts."""
 
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from winback.llm import url_filter
 from winback.llm.queries import URL_RULES
@@ -70,3 +72,23 @@ def test_without_both_verdicts(spark, urls, verdict):
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
     got = [r.verdict for r in url_filter.judge(pages, URL_RULES).collect()]
     assert got == [verdict] * len(urls)
+
+
+def test_n_grams_of_short_and_wide_texts(spark):
+    texts = ["^ $", "a", "ab", "abcd", "^ü€😀x y$", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", url_filter.character_n_grams(F.col("t")).alias("g")).collect()
+    for t, g in got:
+        want = [t[i : i + n] for n in (3, 4, 5) for i in range(max(len(t) - n + 1, 1))]
+        assert g == want, t
+
+
+def test_a_very_long_address(spark):
+    long = "http://a.org/" + "".join(f"x{i}/" for i in range(150_000))
+    assert len(long) > 1_000_000
+    rows = [(i, f"http://shop{i}.com/") for i in range(20)] + [(50, "http://b.net/es/1"), (99, long)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    begun = time.time()
+    got = {r.page_id: r for r in url_filter.judge(pages, URL_RULES).collect()}
+    assert got[99].path == long[len("http://a.org") :] and got[99].verdict in ("allow", "block")
+    assert time.time() - begun < 60

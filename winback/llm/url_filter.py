@@ -8,7 +8,8 @@ on hashed character n-grams of host and path, which judges the addresses under n
 
 A null address, or one without `://`, has an empty host and path, fits no rule, and is
 judged like any other. If the labelled table lacks a verdict, the one it has is given to
-all, and `allow` if it is empty. Rows are judged alone, whatever their number or copies.
+all, and `allow` if it is empty. Rows are judged alone, whatever their number or copies, and
+an address of any length as a whole, in time that grows with its length.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from winback.session import materialise
+
 ALLOW, BLOCK = "allow", "block"
 # (verdict, host and path)
 Rule = tuple[str, str]
@@ -61,11 +64,17 @@ def matched_rule(rules: Sequence[Rule], host: Column, path: Column) -> tuple[Col
 
 
 def character_n_grams(text: Column, sizes: Sequence[int] = SIZES) -> Column:
-    """All character n-grams of a short text; a shorter one counts as a whole."""
+    """All character n-grams of a text; a shorter one counts as a whole.
+
+    The text is cut into characters once and joined with itself shifted, so time grows with
+    the length and not with its square.
+    """
+    characters, length = F.split(text, ""), F.greatest(F.length(text), F.lit(1))
+    shifted = F.arrays_zip(*[F.slice(characters, F.lit(k + 1), length) for k in range(max(sizes))])
 
     def of(size: int) -> Column:
-        last = F.greatest(F.length(text) - size + 1, F.lit(1))
-        return F.transform(F.sequence(F.lit(1), last), lambda at: F.substring(text, at, F.lit(size)))
+        grams = F.transform(shifted, lambda at: F.concat(*[at[str(k)] for k in range(size)]))
+        return F.when(F.length(text) >= size, F.array_compact(grams)).otherwise(F.array(text))
 
     return reduce(F.concat, [of(size) for size in sizes])
 
@@ -95,6 +104,7 @@ def fit(
     """The model, or the only verdict there is."""
     labelled = labelled_addresses(ruled, per_verdict)
     labelled = labelled.withColumn("label", (F.col("verdict") == BLOCK).cast("double"))
+    labelled = materialise(labelled, "labelled")
     seen = {r["verdict"] for r in labelled.groupBy("verdict").count().collect()}
     if len(seen) < 2:
         return next(iter(seen), ALLOW)
