@@ -6,7 +6,7 @@ family from the others; within a family one machine per pair of languages votes,
 summed margins settle ties. All weights of an n-gram lie side by side, so one pass over the
 bytes serves every machine.
 
-Learned from a bounded number of distinct texts per language, drawn by the hash of the id.
+Learned from a bounded number of distinct texts per language, drawn by the hash of the text.
 A text that is null or has no letter is `und` with score 0; so is every text if nothing was
 learned. The score is the product of the family's and of the weakest pairwise probability.
 """
@@ -18,7 +18,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winback.llm.learning import dual_coordinate_descent, sigmoid
@@ -103,22 +103,31 @@ def fit(
     text_column: str = "text",
     language_column: str = "lang",
 ) -> Model | None:
-    """Machines from about `per_language` distinct texts of each language; None if there
-    is nothing to learn from."""
+    """Machines from at most `per_language` distinct texts of each language, the first by
+    their hash; None if there is nothing to learn from."""
     rows = documents.select(
         F.col(id_column).alias(id_column),
         F.col(language_column).cast("string").alias("language"),
         F.col(text_column).cast("string").alias("text"),
     ).filter(learned & F.col("language").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["language"]: r["count"] for r in rows.groupBy("language").count().collect()}
-    if not counts:
+    rows = rows.select("language", "text")
+    # Copies of a text are one text, whatever their ids, so many copies cannot fill the sample.
+    key = F.xxhash64(F.lit(7), "text")
+    counted = rows.groupBy("language").agg(F.approx_count_distinct(key).alias("texts")).collect()
+    if not counted:
         return None
-    # A text is drawn if the hash of its id falls below its language's share.
-    draw = F.pmod(F.xxhash64(F.lit(7), F.col(id_column)), F.lit(1_000_000))
+    # About twice as many texts as wanted are drawn by their hash, then the first of those.
     share = F.create_map(
-        *[F.lit(x) for k, n in sorted(counts.items()) for x in (k, int(1e6 * min(1, per_language / n)) + 1)]
+        *[
+            F.lit(x)
+            for language, texts in sorted(map(tuple, counted))
+            for x in (language, int(2e6 * per_language / max(texts, 1)) + 1)
+        ]
     )
-    drawn = rows.filter(draw < share[F.col("language")]).select("language", "text").distinct()
+    drawn = rows.filter(F.pmod(key, F.lit(1_000_000)) < share[F.col("language")]).distinct()
+    place = F.row_number().over(Window.partitionBy("language").orderBy(key, "text"))
+    drawn = drawn.withColumn("_place", place).filter(F.col("_place") <= per_language)
+    drawn = drawn.select("language", "text")
     sample = drawn.orderBy("language", "text").toArrow()
     languages = sorted(set(sample.column("language").to_pylist()))
     if not languages:
