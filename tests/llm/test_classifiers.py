@@ -2,6 +2,7 @@
 they are made of against slower versions."""
 
 import random
+import time
 import zlib
 from itertools import product
 
@@ -120,10 +121,36 @@ def test_field_gradient_points_uphill():
     assert ((toxicity.marginals(chains, field) > 0.5) == tags.astype(bool)).all()
 
 
-def test_chains_are_cut_at_64_words():
-    text = " ".join(f"w{i}" for i in range(200))
-    chains = toxicity._cut(flatten(pa.array([text, "x. y", ""])), 10)
-    assert np.flatnonzero(chains.first).tolist() == [0, 64, 128, 192, 200, 201]
+def test_long_sentences_are_one_chain():
+    """Messages passed stretch by stretch equal those passed word by word."""
+    rng = np.random.default_rng(4)
+    first = np.zeros(1000, bool)
+    first[[0, 1, 64, 65, 129, 300, 428, 990]] = True
+    potentials = rng.normal(size=1000) * 2
+    field = toxicity.Field(np.zeros(1), np.array([[0.3, -1.0], [0.2, 1.1]]), -0.7)
+    ahead, behind = toxicity._forward_backward(potentials, first, field)
+    (m00, m01), (m10, m11) = field.moves
+    for t in range(1000):
+        want = field.start
+        if not first[t]:
+            r = ahead[t - 1]
+            want = np.logaddexp(m01, m11 + r) - np.logaddexp(m00, m10 + r)
+        assert ahead[t] == pytest.approx(potentials[t] + want, abs=1e-9)
+    for t in range(999, -1, -1):
+        want = 0.0
+        if t < 999 and not first[t + 1]:
+            r = potentials[t + 1] + behind[t + 1]
+            want = np.logaddexp(m10, m11 + r) - np.logaddexp(m00, m01 + r)
+        assert behind[t] == pytest.approx(want, abs=1e-9)
+
+
+def test_a_text_without_sentence_ends_is_one_chain():
+    chains = toxicity._cut(flatten(pa.array([" ".join(["word"] * 300_000), "a b. c"])), 12)
+    assert np.flatnonzero(chains.first).tolist() == [0, 300_000, 300_002]
+    field = toxicity.Field(np.zeros((1 << 12) + 1), np.array([[0.0, -2.0], [0.0, 0.0]]), -2.0)
+    begun = time.time()
+    assert len(toxicity.marginals(chains, field)) == 300_003
+    assert time.time() - begun < 20
 
 
 @pytest.mark.parametrize("module, label", [(quality, "quality"), (toxicity, "toxic")])
@@ -207,6 +234,19 @@ def test_languages(spark, names):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_sample_of_languages_is_bounded_by_text(spark, monkeypatch):
+    """A thousand rows of one id, and copies, give no more than the bound of each language."""
+    seen = []
+    real = language._examples
+    monkeypatch.setattr(language, "_examples", lambda flat: seen.append(len(flat.offsets) - 1) or real(flat))
+    texts = sentences(VOCABULARY["en"], 1000, 3)
+    rows = [(7, t, "en") for t in texts] + [(None, t, "de") for t in sentences(VOCABULARY["de"], 1000, 4)]
+    rows += [(8, texts[0], "en")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, F.lit(True), per_language=20)
+    assert seen == [40] and model.languages == ["de", "en"]
+
+
 def test_nothing_learned_is_und(spark, frame, messy):
     docs = frame(messy)
     assert language.fit(docs, F.lit(True)) is None

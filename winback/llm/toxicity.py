@@ -1,7 +1,7 @@
 """Toxic spans by a linear-chain conditional random field, and scores of whole documents.
 
-Words are tagged toxic or not. Chains are the words between two ends of sentences, at most
-64 each; every word of a text is in one chain. The potential of a word's tag adds the
+Words are tagged toxic or not. Chains are the words between two ends of sentences, however
+many; every word of a text is in one chain. The potential of a word's tag adds the
 weights of the word, its prefixes and suffix, and of its two neighbours (hashed), and a
 tag's potential depends on the tag before.
 
@@ -52,7 +52,8 @@ from winback.llm.texts import (
 
 FEATURE_BITS = 20
 PER_CLASS = 800
-CHAIN = 64
+# Words whose messages are passed one by one; longer chains are joined from stretches of so many.
+STRETCH = 64
 # Words count towards a document's sum if they are toxic rather than not.
 LIKELY = 0.5
 # Bytes of a word that its prefixes (if the word goes on) and its suffix take.
@@ -94,9 +95,6 @@ def _cut(flat: Flat, bits: int) -> Chains:
         text_starts = found.bounds[:-1]
         first[text_starts[text_starts < n]] = True
         first[1:] |= ends[found.starts[1:]] != ends[found.ends[:-1]]
-        index = np.arange(n)
-        since = index - np.maximum.accumulate(np.where(first, index, 0))
-        first |= since % CHAIN == 0
     return Chains(
         found, np.stack(own, 1).astype(np.int32), np.stack(beside, 1).astype(np.int32), first
     )
@@ -130,12 +128,55 @@ def _potentials(chains: Chains, weights: np.ndarray) -> np.ndarray:
     return out
 
 
-def _columns(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Chains longest first: where each begins, and its length."""
-    begins = np.flatnonzero(first)
-    lengths = np.diff(np.append(begins, len(first)))
+def _live(lengths: np.ndarray) -> list[int]:
+    """How many stretches, longest first, are longer than each step."""
+    return [int(np.searchsorted(-lengths, -step, "left")) for step in range(int(lengths[0]) + 1)]
+
+
+def _step_ahead(before: np.ndarray, moves) -> np.ndarray:
+    (m00, m01), (m10, m11) = moves
+    return np.logaddexp(m01, m11 + before) - np.logaddexp(m00, m10 + before)
+
+
+def _step_behind(after: np.ndarray, moves) -> np.ndarray:
+    (m00, m01), (m10, m11) = moves
+    return np.logaddexp(m10, m11 + after) - np.logaddexp(m00, m01 + after)
+
+
+def _fill_ahead(ahead, potentials, begins, lengths, moves) -> None:
+    """Forward messages of stretches whose first one is there."""
+    order = np.argsort(-lengths, kind="stable")
+    begins, live = begins[order], _live(lengths[order])
+    for step in range(1, len(live) - 1):
+        at = begins[: live[step]] + step
+        ahead[at] = potentials[at] + _step_ahead(ahead[at - 1], moves)
+
+
+def _fill_behind(behind, potentials, begins, lengths, moves) -> None:
+    """Backward messages of stretches whose last one is there."""
+    order = np.argsort(-lengths, kind="stable")
+    begins, live = begins[order], _live(lengths[order])
+    for step in range(len(live) - 2, 0, -1):
+        at = begins[: live[step]] + step
+        behind[at - 1] = _step_behind(potentials[at] + behind[at], moves)
+
+
+def _transfers(potentials, begins, lengths, moves) -> np.ndarray:
+    """Per stretch, 2 x 2: the log weight of all tags in it, from the tag before its first
+    word to the tag of its last."""
     order = np.argsort(-lengths, kind="stable")
-    return begins[order], lengths[order]
+    begins, live = begins[order], _live(lengths[order])
+    out = np.empty((2, 2, len(begins)))
+    out[:] = np.asarray(moves)[:, :, None]
+    out[:, 1] += potentials[begins]
+    for step in range(1, len(live) - 1):
+        n = live[step]
+        off, on = out[:, 0, :n].copy(), out[:, 1, :n].copy()
+        out[:, 0, :n] = np.logaddexp(off + moves[0][0], on + moves[1][0])
+        out[:, 1, :n] = np.logaddexp(off + moves[0][1], on + moves[1][1]) + potentials[begins[:n] + step]
+    unsorted = np.empty_like(out)
+    unsorted[:, :, order] = out
+    return unsorted
 
 
 def _forward_backward(
@@ -143,25 +184,40 @@ def _forward_backward(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Log ratios (toxic to not) of the forward and of the backward messages at each word.
 
-    With two tags a message is one ratio. All chains take a step together; those that have
-    ended stand at the end and drop out.
+    With two tags a message is one ratio. All stretches take a step together. A chain of
+    several stretches is passed through by their transfers first, which is exact: the message
+    that enters a stretch and the product of its steps give the one that leaves it.
     """
-    begins, lengths = _columns(first)
-    ahead, behind = np.zeros(len(potentials)), np.zeros(len(potentials))
-    if not len(begins):
+    n = len(potentials)
+    ahead, behind = np.zeros(n), np.zeros(n)
+    if not n:
         return ahead, behind
-    (m00, m01), (m10, m11) = field.moves
-    ahead[begins] = potentials[begins] + field.start
-    longest = int(lengths[0])
-    live = [int(np.searchsorted(-lengths, -step, "left")) for step in range(longest + 1)]
-    for step in range(1, longest):
-        at = begins[: live[step]] + step
-        before = ahead[at - 1]
-        ahead[at] = potentials[at] + np.logaddexp(m01, m11 + before) - np.logaddexp(m00, m10 + before)
-    for step in range(longest - 1, 0, -1):
-        at = begins[: live[step]] + step
-        after = potentials[at] + behind[at]
-        behind[at - 1] = np.logaddexp(m10, m11 + after) - np.logaddexp(m00, m01 + after)
+    moves = field.moves
+    index = np.arange(n)
+    since = index - np.maximum.accumulate(np.where(first, index, 0))
+    begins = np.flatnonzero(since % STRETCH == 0)
+    lengths = np.diff(np.append(begins, n))
+    start = since[begins] == 0
+    heads, rest = begins[start], begins[~start]
+    ahead[heads] = potentials[heads] + field.start
+    _fill_ahead(ahead, potentials, heads, lengths[start], moves)
+    if len(rest):
+        # Stretches by their number in the chain: each number is one step for all chains.
+        number = since[rest] // STRETCH
+        order = np.argsort(number, kind="stable")
+        rest, more = rest[order], lengths[~start][order]
+        through = _transfers(potentials, rest, more, moves)
+        last = rest + more - 1
+        edges = np.searchsorted(number[order], np.arange(1, int(number.max()) + 2))
+        spans = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+        for a, b in spans:
+            before = ahead[rest[a:b] - 1]
+            ahead[rest[a:b]] = potentials[rest[a:b]] + _step_ahead(before, moves)
+            ahead[last[a:b]] = _step_ahead(before, through[:, :, a:b])
+        for a, b in reversed(spans):
+            behind[rest[a:b] - 1] = _step_behind(behind[last[a:b]], through[:, :, a:b])
+        _fill_ahead(ahead, potentials, rest, more, moves)
+    _fill_behind(behind, potentials, begins, lengths, moves)
     return ahead, behind
 
 
