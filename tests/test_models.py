@@ -1,5 +1,6 @@
 import itertools
 import math
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pytest
@@ -197,13 +198,35 @@ def test_registry_flow(spark, sample, boosted):
     registry.set_alias(tables, "m", 1)
     model, info = registry.load(tables, "m")
     assert (info.version, info.alias, info.run_id) == ("1", CHAMPION, run_id)
-    assert tables.read("registry", "aliases").count() == 3
+    assert registry.aliases(tables).count() == 3
     before, after = (models.predict(m, df).agg(F.sum(PROBABILITY)).first()[0] for m in (boosted, model))
     assert before == pytest.approx(after)
     with pytest.raises(ValueError, match="no model"):
         registry.load(tables, "m", "nobody")
 
 
+def test_registrations_at_the_same_time(spark):
+    """Eight threads: eight numbers, and the alias ends at the last of them."""
+    tables = Tables.scratch(spark)
+    with ThreadPool(8) as pool:
+        made = pool.map(
+            lambda i: registry.register(tables, "m", {"run_id": f"r{i}", "model_path": f"p{i}"}), range(8)
+        )
+    assert sorted(int(info.version) for info in made) == list(range(1, 9))
+    stored = {r.model_version: r.source_run_id for r in tables.read("registry", "versions").collect()}
+    assert stored == {int(info.version): info.run_id for info in made}
+    assert [tuple(r) for r in registry.aliases(tables).collect()] == [("m", CHAMPION, 8)]
+
+
+def test_a_name_is_claimed_once(spark):
+    tables = Tables.scratch(spark)
+    with ThreadPool(16) as pool:
+        assert sum(pool.map(lambda _: tables.claim("x/y"), range(64))) == 1
+    assert tables.claim_number("x/n", 3) == 3 and tables.claim_number("x/n", 3) == 4
+    with pytest.raises(ValueError, match="partition value"):
+        registry.set_alias(tables, "a/b", 1)
+
+
 @pytest.mark.parametrize("value", [None, float("nan"), float("inf"), 0.29])
 def test_bad_metrics_block(spark, value):
     run = spark.createDataFrame([("r", {"test_pr_auc": value, "test_lift_at_10pct": 9.0})],

@@ -24,10 +24,10 @@ RUN_SCHEMA = (
     "model_path string, finished_at timestamp"
 )
 VERSION_SCHEMA = (
-    "model_version int, source_run_id string, model_path string, description string, "
-    "tags map<string,string>, registered_at timestamp, model_name string"
+    "source_run_id string, model_path string, description string, "
+    "tags map<string,string>, registered_at timestamp, model_name string, model_version int"
 )
-ALIAS_SCHEMA = "alias string, model_version int, model_name string"
+MOVE_SCHEMA = "model_version int, model_name string, alias string, move int"
 
 
 def _now() -> datetime:
@@ -154,6 +154,16 @@ def enforce_guardrails(checked: DataFrame) -> None:
         )
 
 
+def _newest(tables: Tables, model_name: str, alias: str | None = None) -> int:
+    """The last version of a model, or of those registered for an alias; 0 if there is none."""
+    if not tables.exists("registry", "versions"):
+        return 0
+    own = tables.read("registry", "versions").filter(F.col("model_name") == model_name)
+    if alias is not None:
+        own = own.filter(F.col("tags")["alias"] == alias)
+    return own.agg(F.max("model_version")).first()[0] or 0
+
+
 def register(
     tables: Tables,
     model_name: str,
@@ -162,49 +172,60 @@ def register(
     tags: Mapping[str, str] | None = None,
     alias: str = CHAMPION,
 ) -> ModelInfo:
-    """Add a version for a run's model and point the alias at it."""
-    spark = tables.spark
-    version = 1
-    if tables.exists("registry", "versions"):
-        last = (
-            tables.read("registry", "versions")
-            .filter(F.col("model_name") == model_name)
-            .agg(F.max("model_version"))
-            .first()[0]
-        )
-        version = (last or 0) + 1
+    """Add a version for a run's model and point the alias at it.
+
+    The number is claimed, so no two registrations share one. Of registrations at the same
+    time the alias ends at the last version, in whatever order they finish.
+    """
+    version = tables.claim_number(f"{model_name}/version", _newest(tables, model_name) + 1)
     row = (
-        version,
         run["run_id"],
         run["model_path"],
         description,
-        dict(tags or {}),
+        {**(tags or {}), "alias": alias},
         _now(),
         model_name,
+        version,
     )
-    tables.write_append(spark.createDataFrame([row], VERSION_SCHEMA), "registry", "versions")
-    set_alias(tables, model_name, version, alias)
+    tables.write_entry(
+        tables.spark.createDataFrame([row], VERSION_SCHEMA),
+        "registry", "versions", model_name=model_name, model_version=version,
+    )
+    moved = version
+    set_alias(tables, model_name, moved, alias)
+    while (newest := _newest(tables, model_name, alias)) > moved:
+        moved = newest
+        set_alias(tables, model_name, moved, alias)
     return ModelInfo(model_name, str(version), alias, run["run_id"])
 
 
 def set_alias(tables: Tables, model_name: str, version: int, alias: str = CHAMPION) -> None:
-    """Aliases are partitions, so moving one replaces exactly its row."""
-    row = tables.spark.createDataFrame([(alias, version, model_name)], ALIAS_SCHEMA)
+    """A move is a row with a claimed number; the alias is where its last move put it."""
+    last = 0
     if tables.exists("registry", "aliases"):
-        others = tables.read("registry", "aliases").filter(
-            (F.col("model_name") == model_name) & (F.col("alias") != alias)
-        )
-        kept = tables.spark.createDataFrame(others.collect(), others.schema)
-        row = kept.select(*row.columns).unionByName(row)
-    tables.write_replace(row, "registry", "aliases", "model_name", model_name)
+        own = (F.col("model_name") == model_name) & (F.col("alias") == alias)
+        last = tables.read("registry", "aliases").filter(own).agg(F.max("move")).first()[0] or 0
+    move = tables.claim_number(f"{model_name}/alias-{alias}", last + 1)
+    row = tables.spark.createDataFrame([(version, model_name, alias, move)], MOVE_SCHEMA)
+    tables.write_entry(row, "registry", "aliases", model_name=model_name, alias=alias, move=move)
+
+
+def aliases(tables: Tables) -> DataFrame:
+    """The version each alias of each model stands at."""
+    moves = tables.read("registry", "aliases")
+    return moves.groupBy("model_name", "alias").agg(
+        F.max_by("model_version", "move").alias("model_version")
+    )
 
 
 def load(
     tables: Tables, model_name: str, alias: str = CHAMPION
 ) -> tuple[PipelineModel, ModelInfo]:
     """The model behind an alias, checked against the feature contract."""
+    if not tables.exists("registry", "aliases"):
+        raise ValueError(f"no model {model_name} with alias {alias}")
     found = (
-        tables.read("registry", "aliases")
+        aliases(tables)
         .filter((F.col("model_name") == model_name) & (F.col("alias") == alias))
         .join(tables.read("registry", "versions"), ["model_name", "model_version"])
         .first()

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import json
+import os
 import re
+import time
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +61,34 @@ class Tables:
         found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return found, found.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def claim(self, name: str) -> bool:
+        """Whether this caller is the first of all to claim a name.
+
+        The claim is a small file that is created only if it is not there, in one step.
+        """
+        path, files = self._at(f"{self.root}/_claims/{name}")
+        files.mkdirs(path.getParent())
+        if files.getUri().getScheme() == "file":
+            # Hadoop looks before it creates here, which two callers can do at once.
+            try:
+                os.close(os.open(path.toUri().getPath(), os.O_CREAT | os.O_EXCL))
+            except FileExistsError:
+                return False
+            return True
+        try:
+            files.create(path, False).close()
+        except Py4JJavaError as failed:
+            if "FileAlreadyExists" not in failed.java_exception.getClass().getName():
+                raise
+            return False
+        return True
+
+    def claim_number(self, name: str, first: int) -> int:
+        """The least number from `first` on that nobody has claimed; it is the caller's now."""
+        while not self.claim(f"{name}-{first}"):
+            first += 1
+        return first
+
     def create_layer(self, layer: str) -> str:
         if layer not in TABLES:
             raise KeyError(f"no layer {layer}; known: {list(TABLES)}")
@@ -130,6 +161,27 @@ class Tables:
             return
         self._write(df.select(*self.schema(layer, key).names), layer, key, by, "overwrite", "dynamic")
 
+    def write_entry(self, df: DataFrame, layer: str, key: str, **at: object) -> None:
+        """Add rows as a partition of their own, named by values that the caller has claimed.
+
+        Nothing is shared with other writers, so entries can be written at the same time.
+        """
+        for value in at.values():
+            if not re.fullmatch(r"[\w.-]+", str(value)):
+                raise ValueError(f"not a partition value: {value!r}")
+        if not self.exists(layer, key):
+            if self.claim(f"definition-{layer}-{key}"):
+                self._define(df, layer, key, None)
+            for _ in range(100):
+                if self.exists(layer, key):
+                    break
+                time.sleep(0.1)
+            else:
+                # Who claimed it has stopped.
+                self._define(df, layer, key, None)
+        folder = "/".join([self.path(layer, key), *[f"{k}={v}" for k, v in at.items()]])
+        df.drop(*at).coalesce(1).write.mode("overwrite").parquet(folder)
+
     def drop_partition(self, layer: str, key: str, by: str, value: object) -> None:
         """Delete one partition; a date or a batch id."""
         text = str(value)
