@@ -27,7 +27,7 @@ def _scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """History, scores and reference population as the earlier stages leave them."""
-    silver = materialise(frames.silver(spark, folder), "silver")
+    silver = frames.stored_silver(spark, folder)
     scores = materialise(frames.scores_of(silver), "scores")
     reference = frames.base_of(silver, on=[as_date(frames.DRIFT_REFERENCE)])
     return silver, scores, materialise(reference, "reference")
@@ -381,7 +381,7 @@ _PERFORMANCE = [
 )
 def monitor_performance(spark: SparkSession, folder: str) -> DataFrame:
     """The matured round's metrics; the open round adds no row."""
-    silver = materialise(frames.silver(spark, folder), "silver")
+    silver = frames.stored_silver(spark, folder)
     scores = materialise(frames.scores_of(silver), "scores")
     both = monitoring.performance(scores, silver, _DAY).unionByName(
         monitoring.performance(scores, silver, _OPEN)
