@@ -18,6 +18,7 @@ from winback.operators.features import modeling_base
 from winback.plans import frames
 from winback.plans.catalog import query
 from winback.plans.sql import with_steps
+from winback.session import FILE_ROWS, materialise
 from winback.sources.bronze import union_parts
 from winback.sources.guards import conform, require_columns, require_rows
 from winback.sources.tables import Tables
@@ -77,11 +78,12 @@ def table_append(spark: SparkSession, folder: str) -> DataFrame:
 def table_replace_date(spark: SparkSession, folder: str) -> DataFrame:
     """Feature snapshots per date, one date written twice."""
     tables = Tables.scratch(spark)
+    silver = frames.stored_silver(spark, folder)
     tables.write_replace(
-        frames.round_features(spark, folder), "gold", "feature_snapshot", "scoring_date"
+        frames.features_of(silver), "gold", "feature_snapshot", "scoring_date"
     )
     # The date is computed afresh: a table is not overwritten from itself.
-    fresh = frames.round_features(spark, folder, (frames.MATURED_ROUND,))
+    fresh = frames.features_of(silver, (frames.MATURED_ROUND,))
     day = as_date(frames.MATURED_ROUND)
     tables.write_replace(fresh, "gold", "feature_snapshot", "scoring_date", day)
     return tables.read("gold", "feature_snapshot").select(
@@ -119,8 +121,9 @@ def _manifest(batch: DataFrame) -> DataFrame:
 def table_delete_batch(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches stored, the first stored again in place of itself and then deleted."""
     tables = Tables.scratch(spark)
-    batch = _batch_lines(spark, folder)
-    manifest = _manifest(batch)
+    # Written once: five writes and the checks before them read the same few lines.
+    batch = materialise(_batch_lines(spark, folder), "batch")
+    manifest = materialise(_manifest(batch), "manifest")
 
     def named(batch_id: str) -> DataFrame:
         return manifest.withColumn("batch_id", F.lit(batch_id))
@@ -147,8 +150,12 @@ def table_layers(spark: SparkSession, folder: str) -> DataFrame:
     """Layers made on demand, creating one twice being harmless."""
     tables = Tables.scratch(spark)
     tables.create_layer("silver")
-    tables.write_full(frames.silver(spark, folder), "silver", "transactions")
-    tables.write_full(frames.base(spark, folder), "gold", "modeling", by="reference_date")
+    tables.write_full(
+        frames.silver(spark, folder), "silver", "transactions", file_rows=FILE_ROWS
+    )
+    # From the stored lines: joined and cleaned once.
+    base = frames.base_of(tables.read("silver", "transactions"))
+    tables.write_full(base, "gold", "modeling", by="reference_date")
 
     def size(layer: str, key: str) -> DataFrame:
         counted = tables.read(layer, key).agg(F.count("*").alias("row_count"))
