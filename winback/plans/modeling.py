@@ -17,6 +17,7 @@ from winback.operators.scoring import rule_scores
 from winback.plans import frames
 from winback.plans.catalog import query
 from winback.plans.sql import ROUNDED_METRICS, metric_steps, rounded, with_steps
+from winback.session import FILE_ROWS
 from winback.sources.tables import Tables
 
 
@@ -148,7 +149,8 @@ def features_carried_forward(spark: SparkSession, folder: str) -> DataFrame:
     """The same features from state carried from round to round over stored silver."""
     tables = Tables.scratch(spark)
     tables.write_full(
-        frames.silver(spark, folder).withColumn(MONTH, month()), "silver", "transactions", by=MONTH
+        frames.silver(spark, folder).withColumn(MONTH, month()), "silver", "transactions", by=MONTH,
+        file_rows=FILE_ROWS,
     )
     history = tables.create_full_history()
     for day in frames.ROUNDS:
