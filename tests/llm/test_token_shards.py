@@ -33,6 +33,19 @@ def test_encoding_equals_the_library(coder, texts):
     assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_a_mark_does_not_make_another_piece_of_its_word():
+    coder = Encoder(BYTES, "byte_level")
+    words = [f"w{chr(97 + i)}{last}" for i in range(20) for last in ("n", "é", "÷", "'s")]
+    texts = [" ".join(w + mark for w in words for mark in ",.!?%") for _ in range(2)]
+    texts += ["end.<|endoftext|>! of,endoftext|>", "Ã.\u00d7,", "it's,'re.'d!"]
+    ids, counts = coder.encode(flatten(pa.array(texts, pa.string())))
+    want = [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+    # Words and marks, not their products; a sign of division is no letter.
+    assert coder.known.size < 3 * 20 + 5 * 20 + 30
+
+
 @settings(max_examples=150, deadline=None)
 @given(
     ids=st.lists(st.integers(0, 6), max_size=300),

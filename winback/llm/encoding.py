@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 from itertools import compress
 
 import numpy as np
@@ -26,13 +25,20 @@ _VISIBLE = byte_set((0x21, 0x7E))
 # A byte that surely starts something other than white space: visible ASCII, or the lead
 # byte of U+00C0 to U+00FF.
 _SURE = byte_set((0x21, 0x7E), (0xC3, 0xC3))
+_LETTER = byte_set((0x41, 0x5A), (0x61, 0x7A))
+# The second byte of a letter from U+00C0 to U+00FF: all but the signs of times and division.
+_LETTER_END = byte_set((0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF))
+# Marks that end a run of letters and begin no contraction. The vertical bar is left out, as
+# it closes the end token's name.
+_MARK = byte_set(*((ord(c), ord(c)) for c in '!"%)*,.:;?]}'))
 
 
 def byte_level_cuts(flat: Flat) -> np.ndarray:
     """Cuts for byte-level encodings that glue one space to the following word.
 
-    Before the last space of a white space run, and around a line feed that stands alone
-    between visible characters.
+    Before the last space of a white space run, around a line feed that stands alone
+    between visible characters, and between a letter and the mark after it: words then
+    repeat more often, as each mark would otherwise make another piece of its word.
     """
     data = flat.data
     before, after = data[:-1], data[1:]
@@ -42,6 +48,9 @@ def byte_level_cuts(flat: Flat) -> np.ndarray:
     feed = (data[1:-1] == 0x0A) & _VISIBLE[data[:-2]] & _SURE[data[2:]]
     cut[1:-2] |= feed
     cut[2:-1] |= feed
+    letter = _LETTER[before]
+    letter[1:] |= (data[:-2] == 0xC3) & _LETTER_END[data[1:-1]]
+    cut[1:-1] |= letter & _MARK[after]
     return cut
 
 
@@ -52,9 +61,21 @@ def white_space_cuts(flat: Flat) -> np.ndarray:
     return cut
 
 
-# Visible ASCII and U+00C0 to U+00FF after at most one space: nothing here can merge with
-# a separator. Other pieces go through the library one by one.
-_PLAIN = re.compile(rb" ?(?:[\x21-\x7E]|\xC3[\x80-\xBF])+")
+def _joinable(pieces: Flat, mark: bytes) -> np.ndarray:
+    """Pieces of visible ASCII and U+00C0 to U+00FF after at most one space, without the
+    separator's `mark`: nothing in them can merge with a separator. Others go through the
+    library one by one."""
+    data, starts = pieces.data, pieces.offsets[:-1]
+    pair = np.zeros(len(data) + 1, bool)
+    pair[1:-1] = (data[:-1] == 0xC3) & ((data[1:] & 0xC0) == 0x80)
+    # Two pieces share no character.
+    pair[pieces.offsets] = False
+    fine = (_VISIBLE[data] & (data != mark[0])) | pair[:-1] | pair[1:]
+    spaced = starts[(data[starts] == 0x20) & (np.diff(pieces.offsets) > 1)]
+    fine[spaced] = True
+    return np.logical_and.reduceat(fine, starts)
+
+
 # How to cut, and a separator for joined pieces that always encodes to one id of its own
 # and to nothing else where no piece holds its visible character.
 CUTS = {"byte_level": (byte_level_cuts, "\n"), "white_space": (white_space_cuts, " | ")}
@@ -160,13 +181,13 @@ class Encoder:
             found.append(ids[ids != self.separator_id])
         return np.concatenate(found), np.concatenate(lengths)
 
-    def _learn(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _learn(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of new pieces, and where each piece's ids start and how many they are."""
-        mark = self.separator.strip(" ").encode() if self.cuts else b""
-        plain = _PLAIN.fullmatch
-        apart = np.fromiter(
-            (not mark or mark in p or plain(p) is None for p in pieces), bool, len(pieces)
-        )
+        if self.cuts:
+            apart = ~_joinable(flatten(new), self.separator.strip(" ").encode())
+        else:
+            apart = np.ones(len(new), bool)
+        pieces = new.to_pylist()
         alone, together = list(compress(pieces, apart)), list(compress(pieces, ~apart))
         texts = self._plain([p.decode("utf-8", "replace") for p in alone]) if alone else []
         ids, lengths = [*texts], [np.fromiter(map(len, texts), np.int64, len(texts))]
@@ -206,7 +227,7 @@ class Encoder:
         rows = known.find(hashes, keys)
         fresh = np.flatnonzero(rows < 0)
         if len(fresh):
-            ids, starts, counts = self._learn(distinct.take(pa.array(fresh)).to_pylist())
+            ids, starts, counts = self._learn(distinct.take(pa.array(fresh)))
             rows[fresh] = known.add(
                 hashes[fresh], keys, fresh, starts + len(self.ids), counts
             )
