@@ -112,3 +112,25 @@ def test_training_rows_are_dealt_evenly(spark):
     sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == spark.sparkContext.defaultParallelism
     assert sum(sizes) == 2_000 and max(sizes) < 1.1 * min(sizes)
+
+
+def test_tasks_of_exchanged_lines_are_bounded_unless_the_session_says(spark):
+    given = spark.conf.get(session.ADVISORY, None)
+    try:
+        spark.conf.unset(session.ADVISORY)
+        frames.bronze(spark, SMALL)
+        assert spark.conf.get(session.ADVISORY) == session.TASK_BYTES == "32m"
+        spark.conf.set(session.ADVISORY, "8m")
+        frames.bronze(spark, SMALL)
+        assert spark.conf.get(session.ADVISORY) == "8m"
+    finally:
+        if given is None:
+            spark.conf.unset(session.ADVISORY)
+        else:
+            spark.conf.set(session.ADVISORY, given)
+
+
+def test_a_reading_task_is_given_few_stored_lines(spark):
+    """Files are packed by bytes, a file counting four megabytes more than it has."""
+    files = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b")) >> 22
+    assert files * session.FILE_ROWS <= 1_600_000
