@@ -1,8 +1,10 @@
 """Decontamination against a search that slides every window over every document."""
 
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.compare import database, difference
@@ -142,3 +144,15 @@ def test_items_without_id_are_searched_as_in_the_sql(spark, tmp_path, monkeypatc
             )
             found = QUERIES[name](spark, str(tmp_path))
             assert difference(database(str(tmp_path)), found, SQL[name]) is None
+
+
+def test_a_segment_is_built_in_bounded_memory():
+    """Arrays of a few dozen bytes a byte of text do not fit an executor's workers."""
+    line = " ".join(f"word{i % 5000} of" for i in range(20_000))
+    copies = index.SEGMENT_BYTES // len(line)
+    table = pa.table({"doc_id": list(range(copies)), "text": [line] * copies})
+    tracemalloc.start()
+    row = index._segment(table, 0, 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert row.num_rows == 1 and peak < 80 << 20, peak >> 20

@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 
 from winback.llm.texts import LETTERS_AND_DIGITS, flatten, gather, lower_ascii, parts, words
 
-SEGMENT_BYTES = 8 << 20
+# Bytes of text of a segment; a worker holds some twenty times as much while it builds one.
+SEGMENT_BYTES = 4 << 20
 WINDOW = 13
 # Words of items searched at once; more items make more passes over the index.
 BLOCK_WORDS = 500_000
@@ -54,8 +55,10 @@ _FOUND = (
 
 def _pack(gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers below 2**28 as 7-bit groups, lowest first; and the bytes of each number."""
-    size = 1 + (gaps >= 1 << 7) + (gaps >= 1 << 14) + (gaps >= 1 << 21)
-    ends = np.cumsum(size)
+    size = np.ones(len(gaps), np.uint8)
+    for bound in (1 << 7, 1 << 14, 1 << 21):
+        size += gaps >= bound
+    ends = np.cumsum(size, dtype=np.int32)
     out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
     rest, at, live = gaps.copy(), ends - size, np.arange(len(gaps))
     for _ in range(4):
@@ -94,39 +97,53 @@ def build(
     )
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number = TaskContext.get().partitionId(), 0
-        for some in _joined(batches, segment_bytes):
-            flat = flatten(some.column("text"))
-            found = words(flat._replace(data=lower_ascii(flat.data)), LETTERS_AND_DIGITS)
-            names = pc.array_sort_indices(found.terms).to_numpy()
-            ranks = np.empty(len(names), np.int32)
-            ranks[names] = np.arange(len(names), dtype=np.int32)
-            codes = ranks[found.codes]
-            order = np.argsort(codes, kind="stable")
-            ordered = codes[order]
-            counts = np.bincount(codes, minlength=len(names))
-            gaps = np.diff(order, prepend=0)
-            starts = np.concatenate(([True], ordered[1:] != ordered[:-1]))[: len(order)]
-            gaps[starts] = order[starts]
-            data, size = _pack(gaps)
-            upto = np.concatenate(([0], np.cumsum(size)))
-            edges = upto[np.concatenate(([0], np.cumsum(counts)))]
-            row = {
-                "part": pa.array([part], pa.int32()),
-                "segment": pa.array([number], pa.int32()),
-                "doc_ids": pa.array([some.column("doc_id")], pa.list_(pa.int64())),
-                "bounds": pa.array([found.bounds], pa.list_(pa.int64())),
-                "terms": _one_list(found.terms.take(pa.array(names)).cast(pa.binary())),
-                "counts": pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
-                "sizes": pa.array([np.diff(edges).astype(np.int32)], pa.list_(pa.int32())),
-                "postings": pa.array([data.tobytes()], pa.binary()),
-            }
-            number += 1
-            yield pa.RecordBatch.from_pydict(row)
+        part = TaskContext.get().partitionId()
+        for number, some in enumerate(_joined(batches, segment_bytes)):
+            yield _segment(some, part, number)
 
     texts.mapInArrow(segments, _SEGMENTS).write.parquet(path)
 
 
+def _segment(some: pa.Table, part: int, number: int) -> pa.RecordBatch:
+    """One row: the terms of some texts and their positions.
+
+    Numbers of words take four bytes, and arrays go as soon as they are read for the last
+    time: what is held at once is a worker's peak.
+    """
+    terms, codes, bounds = _numbered(some.column("text"))
+    order = np.argsort(codes, kind="stable").astype(np.int32)
+    counts = np.bincount(codes, minlength=len(terms))
+    begins = np.cumsum(counts) - counts
+    del codes
+    gaps = np.diff(order, prepend=np.int32(0))
+    gaps[begins] = order[begins]
+    del order
+    data, size = _pack(gaps)
+    del gaps
+    sizes = np.add.reduceat(size, begins, dtype=np.int32) if len(begins) else size.astype(np.int32)
+    row = {
+        "part": pa.array([part], pa.int32()),
+        "segment": pa.array([number], pa.int32()),
+        "doc_ids": pa.array([some.column("doc_id")], pa.list_(pa.int64())),
+        "bounds": pa.array([bounds], pa.list_(pa.int64())),
+        "terms": _one_list(terms.cast(pa.binary())),
+        "counts": pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
+        "sizes": pa.array([sizes], pa.list_(pa.int32())),
+        "postings": pa.array([data.tobytes()], pa.binary()),
+    }
+    return pa.RecordBatch.from_pydict(row)
+
+
+def _numbered(texts: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Sorted distinct words, the number of each word in order, and where each text begins."""
+    flat = flatten(texts)
+    found = words(flat._replace(data=lower_ascii(flat.data)), LETTERS_AND_DIGITS)
+    names = pc.array_sort_indices(found.terms)
+    ranks = np.empty(len(names), np.int32)
+    ranks[names.to_numpy()] = np.arange(len(names), dtype=np.int32)
+    return found.terms.take(names), ranks[found.codes], found.bounds
+
+
 def _one_list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
