@@ -5,10 +5,17 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from winback.contract import INACTIVE_DAYS, OBSERVATION_DAYS, PREDICTION_DAYS, TARGET, Parameters
+from winback.functions import lines as line_rules
 from winback.functions.dates import first_index_from, last_index_until, monthly_dates, reference_dates
 from winback.operators.cleaning import valid_lines
 from winback.operators.features import modeling_base, scoring_features, windowed_totals
-from winback.operators.population import population
+from winback.operators.population import (
+    View,
+    of_view,
+    population,
+    slot_changes,
+    slot_changes_of,
+)
 
 
 def test_contract():
@@ -141,3 +148,40 @@ def test_base_equals_brute_force(make_lines, purchases):
                 len({p[3] for p in past}), min(p[1] for p in past),
             )
     assert got == want
+
+
+def test_views_together_are_as_each_alone(make_lines):
+    """Views of other rules, dates and days after the last, sharing a date or none."""
+    rows = [
+        (1, "2011-01-31"),
+        (1, "2011-02-01", {"invoice": "x", "country": "Y"}),
+        (1, "2011-02-02", {"invoice": "x", "stock_code": "B", "price": -3}),
+        (1, "2011-03-20", {"stock_code": "B"}),
+        (1, "2011-03-21", {"stock_code": "C", "country": None}),
+        (2, "2011-02-10", {"description": "Discount", "quantity": 4}),
+        (2, "2011-03-05", {"description": None, "invoice": None}),
+        (2, "2011-03-05", {"invoice": "Cx"}),
+        (None, "2011-01-05"),
+        (3, "2011-03-31", {"quantity": -2}),
+        (3, "2011-04-01"),
+        (4, "2012-01-01"),
+    ]
+    d = dt.date
+    views = {
+        "strict": ("strict", [d(2011, 2, 1), d(2011, 3, 20)], 0),
+        "loose": ("modeling", [d(2011, 2, 1), d(2011, 3, 1)], 30),
+        "one": ("modeling", [d(2011, 2, 15)], 3),
+    }
+    silver = make_lines(rows)
+    lines = silver.withColumns(
+        {"total_amount": line_rules.line_amount(), "purchase_date": line_rules.purchase_day()}
+    )
+    together = slot_changes_of(
+        lines, {name: View(line_rules.valid_line(r), on, n) for name, (r, on, n) in views.items()}
+    )
+    for name, (rule, on, days) in views.items():
+        alone = slot_changes(valid_lines(silver, rule), on, look_ahead=days)
+        found = of_view(together, name).select(*alone.columns)
+        assert [f.dataType for f in found.schema] == [f.dataType for f in alone.schema]
+        want = sorted(map(str, alone.collect()))
+        assert want and sorted(map(str, found.collect())) == want

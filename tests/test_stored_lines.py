@@ -10,7 +10,7 @@ from tests.conftest import SMALL
 from winback import session
 from winback.operators import batches, carried, models
 from winback.operators.cleaning import valid_lines
-from winback.plans import all_queries, frames
+from winback.plans import all_queries, frames, monitoring
 from winback.sources import tables as tables_module
 
 
@@ -134,3 +134,39 @@ def test_a_reading_task_is_given_few_stored_lines(spark):
     """Files are packed by bytes, a file counting four megabytes more than it has."""
     files = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b")) >> 22
     assert files * session.FILE_ROWS <= 1_600_000
+
+
+def test_duplicates_are_dropped_where_lines_met_their_order(spark):
+    """Lines that were exchanged to meet their orders are not exchanged again."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    given = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "-1")
+        silver = frames.silver(spark, SMALL)
+        plan = silver._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        rows = silver.count()
+    finally:
+        spark.conf.set(name, given)
+    exchanges = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l]
+    assert exchanges and not [l for l in exchanges if "invoice#" in l]
+    assert rows == silver.distinct().count() == frames.silver(spark, SMALL).count()
+
+
+def test_scores_and_reference_take_one_pass_over_the_lines(spark):
+    plans = []
+
+    def watch(df):
+        plans.append(df._jdf.queryExecution().toString().split("== Physical Plan ==")[1])
+
+    session.watchers.append(watch)
+    try:
+        silver, scores, reference = monitoring._stored(spark, SMALL)
+    finally:
+        session.watchers.remove(watch)
+    assert len([p for p in plans if "Expand" in p]) == 1
+    day = [dt.date.fromisoformat(frames.DRIFT_REFERENCE)]
+    assert reference.exceptAll(frames.base_of(silver, on=day)).count() == 0
+    assert reference.count() == frames.base_of(silver, on=day).count() > 0
+    plain = frames.scores_of(silver).drop("scored_at")
+    assert scores.drop("scored_at").exceptAll(plain).count() == 0
+    assert scores.count() == plain.count() > 0

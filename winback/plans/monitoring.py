@@ -28,9 +28,8 @@ def _scores(spark: SparkSession, folder: str) -> DataFrame:
 def _stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """History, scores and reference population as the earlier stages leave them."""
     silver = frames.stored_silver(spark, folder)
-    scores = materialise(frames.scores_of(silver), "scores")
-    reference = frames.base_of(silver, on=[as_date(frames.DRIFT_REFERENCE)])
-    return silver, scores, materialise(reference, "reference")
+    scores, reference = frames.scores_and_reference(silver)
+    return silver, materialise(scores, "scores"), materialise(reference, "reference")
 
 
 def _runs(silver: DataFrame) -> DataFrame:
