@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tests.compare import database, difference
@@ -76,6 +77,30 @@ def test_equals_scoring_all(spark, tmp_path, frame, corpus, segment_bytes, wave,
         assert got == plain(rows, items, k)
 
 
+def test_a_file_holds_one_segment(spark, tmp_path, frame, corpus):
+    rows, items = corpus
+    path = tmp_path / "index"
+    ranked_search.build(frame(rows), str(path), segment_bytes=800)
+    held = [pq.ParquetFile(file).metadata.num_rows for file in path.glob("*.parquet")]
+    assert sum(held) > 9 and max(held) == 1
+    assert found(spark, str(path), items, k=10) == plain(rows, items, 10)
+
+
+def test_batches_of_segments_are_bounded(spark):
+    before = spark.conf.get(queries.BATCH_SIZE, None)
+    try:
+        spark.conf.unset(queries.BATCH_SIZE)
+        queries.op13_ranked_search(spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(queries.BATCH_SIZE) == queries.BATCH_BYTES
+        spark.conf.set(queries.BATCH_SIZE, "9m")
+        queries.op13_ranked_search(spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(queries.BATCH_SIZE) == "9m"
+    finally:
+        spark.conf.unset(queries.BATCH_SIZE)
+        if before:
+            spark.conf.set(queries.BATCH_SIZE, before)
+
+
 def test_messy_texts(spark, tmp_path, frame, messy):
     path = f"{tmp_path}/index"
     ranked_search.build(frame(messy), path)

@@ -46,6 +46,9 @@ from winback.llm.texts import LETTERS_AND_DIGITS, flatten, lower_ascii, parts, w
 from winback.session import materialise
 
 SEGMENT_BYTES = 8 << 20
+# Segments of a file. Parquet's writer looks at its size every hundred rows and its reader opens
+# all rows of a row group at once, so the segments of a file are what either holds in memory.
+FILE_SEGMENTS = 1
 BATCH = 64
 WAVE = 16
 # Bytes of items searched at once.
@@ -117,7 +120,8 @@ def build(
             )
             number += 1
 
-    texts.mapInArrow(segments, _SEGMENTS).write.parquet(path)
+    stored = texts.mapInArrow(segments, _SEGMENTS).write
+    stored.option("maxRecordsPerFile", FILE_SEGMENTS).parquet(path)
 
 
 def _one_list(values: pa.Array) -> pa.Array:
